@@ -167,7 +167,7 @@ def profile_files(
         .select(
             _plain_path("path").alias("path"),
             F.md5("content").alias("md5"),
-            _header(F.substring_index(F.decode(F.substring("content", 1, 65536), F.lit("UTF-8")), "\n", 1)).alias(
+            _header(F.substring_index(F.decode(F.substring("content", 1, 65536), "UTF-8"), "\n", 1)).alias(
                 "header"
             ),
         )
