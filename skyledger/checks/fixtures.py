@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators import audit, quality
 from ..plans import features, marts, models, staging
-from ..sources import files
+from ..session import work_folder
+from ..sources import files, tables
 from ..streaming import landing
 from ..streaming.envelope import STREAM_TABLES, st_validate_envelope
 
@@ -135,6 +136,33 @@ def _loaded_at() -> Column:
     return F.lit(LOADED_AT).cast("timestamp_ntz").alias("loaded_at")
 
 
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored(layer: str):
+    """A table that is written to the work folder once per session, then read from there.
+
+    Sources are landed and checked tables are loaded before anything is modelled on them; this keeps the
+    plans downstream small and lets column pruning and filters reach a Parquet scan.
+    """
+
+    def wrap(build):
+        name = build.__name__
+
+        def get(self) -> DataFrame:
+            slot = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+            if slot not in _stored:
+                root = work_folder(self.spark, "tables")
+                _stored[slot] = tables.write_table(build(self).hint("rebalance"), root, layer, name)
+            return self.spark.read.parquet(_stored[slot])
+
+        get.__name__, get.__doc__ = name, build.__doc__
+        wrapped = cached_property(get)
+        return wrapped
+
+    return wrap
+
+
 class Tables:
     """Every table of the warehouse as a lazy DataFrame over one folder of given tables."""
 
@@ -156,7 +184,7 @@ class Tables:
 
     # Sources, every column as text ------------------------------------------------------------
 
-    @cached_property
+    @stored("source")
     def bookings(self) -> DataFrame:
         """Each record has a unique number that follows file order: a replay comes after its original."""
         number = (F.col("k") * 2 + F.col("dup") + 2).alias("row_number")
@@ -171,14 +199,14 @@ class Tables:
             "dup",
         )
 
-    @cached_property
+    @stored("source")
     def payments(self) -> DataFrame:
         number = (F.col("k") * 2 + F.col("dup") + 2).alias("row_number")
         return self.sql(f"with bk as ({BOOKINGS_SQL}) {PAYMENTS_SQL}", "orders").select(
             *schemas.RAW_PAYMENTS, number, F.lit(PAYMENTS_FILE).alias("file_path"), "k", "dup"
         )
 
-    @cached_property
+    @stored("source")
     def flights(self) -> DataFrame:
         """Flight records under their source names, as text."""
         df = self.sql(FLIGHTS_SQL, "lineitem")
@@ -188,7 +216,7 @@ class Tables:
     def airports(self) -> DataFrame:
         return self.sql(AIRPORTS_SQL, "nation")
 
-    @cached_property
+    @stored("source")
     def messages(self) -> DataFrame:
         return self.sql(MESSAGES_SQL, "events").select(
             "topic", "partition", "kafka_offset", F.lit(None).cast("string").alias("key"), "value"
@@ -204,13 +232,13 @@ class Tables:
     def checked_payments(self) -> quality.Validated:
         return quality.validate_payments(self.payments, self.checked_bookings.valid)
 
-    @cached_property
+    @stored("metadata")
     def dq_errors(self) -> DataFrame:
         found = self.checked_bookings.errors.unionByName(self.checked_payments.errors)
         empty = found.limit(0)
         return audit.persist_errors(found, RUN_ID, empty)
 
-    @cached_property
+    @stored("quarantine")
     def quarantine(self) -> DataFrame:
         out = None
         for checked in (self.checked_bookings, self.checked_payments):
@@ -246,7 +274,7 @@ class Tables:
             F.when((F.size("missing_columns") > 0) | (F.col("row_count") == 0), "FAILED").otherwise("PASSED"),
         )
 
-    @cached_property
+    @stored("metadata")
     def report(self) -> DataFrame:
         return quality.quality_report(self.file_profiles, [self.checked_bookings, self.checked_payments])
 
@@ -312,11 +340,11 @@ class Tables:
             "*", _loaded_at()
         )
 
-    @cached_property
+    @stored("raw")
     def raw_bookings(self) -> DataFrame:
         return files.typed(self.checked_bookings.valid, schemas.RAW_BOOKINGS).select("*", _loaded_at())
 
-    @cached_property
+    @stored("raw")
     def raw_payments(self) -> DataFrame:
         return files.typed(self.checked_payments.valid, schemas.RAW_PAYMENTS).select("*", _loaded_at())
 

@@ -41,8 +41,8 @@ def rows_in(df: DataFrame, keys: DataFrame, col: str, anti: bool = False) -> Dat
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys that hold more than ``share`` of the rows: at most ``1 / share`` of them."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
     return counts.where(F.col("n") > total * F.lit(share)).select(key)
 
 

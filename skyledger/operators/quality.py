@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,18 +15,20 @@ from .rules import (
     Rule,
     _above_zero,
     _below_zero,
+    breaks_any,
     controlled_vocabulary,
     error_log,
     log_rows,
     missing_optional,
     negative_value,
+    quarantined_rows,
     record_key,
     refund_status_mismatch,
     required_not_null,
-    split,
     standardization_required,
     valid_date,
     valid_numeric,
+    valid_rows,
 )
 
 ORPHAN = "Payment references a booking that failed booking DQ or is missing"
@@ -76,11 +78,20 @@ def duplicate_event(df: DataFrame, key: str, message: str) -> DataFrame:
 
 def split_orphans(child: DataFrame, parent: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Child rows with and without a parent of the same normalised key."""
-    keyed = child.withColumn("_parent", _token(key))
+    return kept(child, parent, key), orphans(child, parent, key)
+
+
+def kept(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    return _lookup(child, parent, key, "left_semi")
+
+
+def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    return _lookup(child, parent, key, "left_anti")
+
+
+def _lookup(child: DataFrame, parent: DataFrame, key: str, how: str) -> DataFrame:
     known = parent.select(_token(key).alias("_parent")).distinct()
-    kept = key_lookup(keyed, known, "_parent", "left_semi", ["row_number"]).drop("_parent")
-    orphaned = key_lookup(keyed, known, "_parent", "left_anti", ["row_number"]).drop("_parent")
-    return kept, orphaned
+    return key_lookup(child.withColumn("_parent", _token(key)), known, "_parent", how, ["row_number"]).drop("_parent")
 
 
 def _token(key: str) -> Column:
@@ -101,25 +112,89 @@ def orphan_findings(orphaned: DataFrame) -> DataFrame:
     )
 
 
-@dataclass
 class Validated:
-    """Valid rows, quarantined rows and the error log of one source."""
-
-    source_name: str
-    source: DataFrame
-    valid: DataFrame
-    quarantine: DataFrame
-    errors: DataFrame
+    """One checked source. Each part is built when asked for, so a caller that wants the valid rows
+    never pays for the log."""
+
+    def __init__(
+        self,
+        source_name: str,
+        source: DataFrame,
+        rules: list[Rule],
+        key: str,
+        repeated: str,
+        parents: DataFrame | None = None,
+        parent_key: str = "booking_id",
+    ):
+        self.source_name, self.source, self.rules, self.key = source_name, source, rules, key
+        self.repeated, self.parents, self.parent_key = repeated, parents, parent_key
+
+    @cached_property
+    def _sound(self) -> DataFrame:
+        return valid_rows(self.source, self.rules)
+
+    @cached_property
+    def orphaned(self) -> DataFrame:
+        return orphans(self._sound, self.parents, self.parent_key)
+
+    @cached_property
+    def valid(self) -> DataFrame:
+        """Rows that break no ERROR rule and, where parents are given, refer to one of them."""
+        return self._sound if self.parents is None else kept(self._sound, self.parents, self.parent_key)
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        rejected = quarantined_rows(self.source, self.rules, self.key)
+        if self.parents is None:
+            return rejected
+        reason = {"reason": F.lit(ORPHAN), "record_key": record_key(self.key)}
+        return rejected.unionByName(self.orphaned.withColumns(reason))
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        log = error_log(self.source, self.rules, self.key, self.source_name, F.col("file_path"))
+        found = duplicate_event(self.source, self.key, self.repeated)
+        if self.parents is not None:
+            found = found.unionByName(orphan_findings(self.orphaned))
+        return log.unionByName(log_rows(found, self.source_name))
+
+    @cached_property
+    def outcome(self) -> DataFrame:
+        """Rows, valid, quarantined and logged rows and the profile of the source, in one row.
+
+        Rules and profile are counted in one pass. Repeats are rows less distinct keys, and orphans are
+        counted per parent key, so no row is shuffled whole.
+        """
+        hard = breaks_any(self.rules, "ERROR")
+        profile = {"bookings": booking_profile, "payments": payment_profile}[self.source_name]()
+        logged = sum((F.count_if(rule.broken) for rule in self.rules), F.lit(0))
+        counts = self.source.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(hard).alias("rejected"),
+            logged.alias("logged"),
+            F.to_json(F.struct(*profile)).alias("quality_profile"),
+        )
+        keys = self.source.agg(
+            (F.count(F.lit(1)) - F.count_distinct(record_key(self.key))).alias("repeats")
+        )
+        counts = counts.withColumn("repeats", keys.scalar())
+        lost = F.lit(0)
+        if self.parents is not None:
+            by_parent = self._sound.groupBy(_token(self.parent_key).alias("_parent")).agg(F.count(F.lit(1)).alias("n"))
+            known = self.parents.select(_token(self.parent_key).alias("_parent")).distinct()
+            lost = by_parent.join(known, "_parent", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+        return counts.withColumn("orphans", lost).select(
+            F.lit(self.source_name).alias("source_name"),
+            (F.col("row_count") - F.col("rejected") - F.col("orphans")).alias("valid_rows"),
+            (F.col("rejected") + F.col("orphans")).alias("quarantined_rows"),
+            (F.col("logged") + F.col("repeats") + F.col("orphans")).alias("record_error_rows"),
+            "quality_profile",
+        )
 
 
 def validate_bookings(bookings: DataFrame) -> Validated:
     """Bookings need ``row_number`` and ``file_path`` next to their text columns."""
-    rules = booking_rules()
-    valid, quarantine = split(bookings, rules, "booking_id")
-    errors = error_log(bookings, rules, "booking_id", "bookings", F.col("file_path")).unionByName(
-        log_rows(duplicate_event(bookings, "booking_id", "Duplicate booking event"), "bookings")
-    )
-    return Validated("bookings", bookings, valid, quarantine, errors)
+    return Validated("bookings", bookings, booking_rules(), "booking_id", "Duplicate booking event")
 
 
 def validate_payments(payments: DataFrame, valid_bookings: DataFrame | None = None) -> Validated:
@@ -127,18 +202,9 @@ def validate_payments(payments: DataFrame, valid_bookings: DataFrame | None = No
 
     An orphan keeps the record number of its source file, so it can be traced back.
     """
-    rules = payment_rules()
-    valid, quarantine = split(payments, rules, "payment_id")
-    errors = error_log(payments, rules, "payment_id", "payments", F.col("file_path")).unionByName(
-        log_rows(duplicate_event(payments, "payment_id", "Duplicate payment event"), "payments")
+    return Validated(
+        "payments", payments, payment_rules(), "payment_id", "Duplicate payment event", valid_bookings
     )
-    if valid_bookings is not None:
-        valid, orphaned = split_orphans(valid, valid_bookings, "booking_id")
-        quarantine = quarantine.unionByName(
-            orphaned.withColumn("reason", F.lit(ORPHAN)).withColumn("record_key", record_key("payment_id"))
-        )
-        errors = errors.unionByName(log_rows(orphan_findings(orphaned), "payments"))
-    return Validated("payments", payments, valid, quarantine, errors)
 
 
 def _duplicates(key: str) -> Column:
@@ -154,10 +220,10 @@ def _count_dirty(*cols: str) -> Column:
     return F.count_if(test)
 
 
-def profile_bookings(src: DataFrame) -> DataFrame:
-    """One row of counts; out-of-order updates compare the two times as text."""
+def booking_profile() -> list[Column]:
+    """Counts over bookings; out-of-order updates compare the two times as text."""
     late = (F.coalesce("updated_at", F.lit("")) != "") & (F.coalesce("created_at", F.lit("")) != "")
-    return src.agg(
+    return [
         _duplicates("booking_id").alias("duplicate_booking_id_rows"),
         _count_dirty(
             "booking_status", "payment_status", "booking_channel", "origin_airport", "destination_airport"
@@ -165,36 +231,27 @@ def profile_bookings(src: DataFrame) -> DataFrame:
         F.count_if(_below_zero("ticket_price")).alias("negative_ticket_rows"),
         F.count_if(is_blank("customer_id")).alias("missing_customer_rows"),
         F.count_if(late & (F.col("updated_at") < F.col("created_at"))).alias("out_of_order_update_rows"),
-    )
+    ]
 
 
-def profile_payments(src: DataFrame) -> DataFrame:
+def payment_profile() -> list[Column]:
     plain_status = F.upper(F.coalesce("payment_status", F.lit("")))
-    return src.agg(
+    return [
         _duplicates("payment_id").alias("duplicate_payment_id_rows"),
         _count_dirty("payment_status", "payment_method", "currency").alias("dirty_standardization_rows"),
         F.count_if(_below_zero("amount")).alias("negative_amount_rows"),
         F.count_if(_above_zero("refund_amount") & ~plain_status.contains("REFUND")).alias(
             "refund_without_refund_status_rows"
         ),
-    )
+    ]
 
 
-def outcome_counts(result: Validated) -> DataFrame:
-    """Source, valid, quarantined and logged rows of a source, in one row."""
-    parts = [
-        (result.source, "row_count"),
-        (result.valid, "valid_rows"),
-        (result.quarantine, "quarantined_rows"),
-        (result.errors, "record_error_rows"),
-    ]
-    counted = None
-    for df, name in parts:
-        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
-        counted = one if counted is None else counted.unionByName(one)
-    return counted.groupBy(F.lit(result.source_name).alias("source_name")).agg(
-        *[F.sum(F.when(F.col("part") == name, F.col("n"))).alias(name) for _, name in parts]
-    )
+def profile_bookings(src: DataFrame) -> DataFrame:
+    return src.agg(*booking_profile())
+
+
+def profile_payments(src: DataFrame) -> DataFrame:
+    return src.agg(*payment_profile())
 
 
 def quality_report(file_profiles: DataFrame, validated: list[Validated]) -> DataFrame:
@@ -202,15 +259,7 @@ def quality_report(file_profiles: DataFrame, validated: list[Validated]) -> Data
 
     A source without record rules counts every row as valid.
     """
-    outcomes = None
-    for result in validated:
-        one = outcome_counts(result).drop("row_count")
-        profile = profile_bookings(result.source) if result.source_name == "bookings" else profile_payments(result.source)
-        detail = profile.select(
-            F.lit(result.source_name).alias("source_name"), F.to_json(F.struct("*")).alias("quality_profile")
-        )
-        one = one.join(detail, "source_name")
-        outcomes = one if outcomes is None else outcomes.unionByName(one)
+    outcomes = reduce(DataFrame.unionByName, [checked.outcome for checked in validated])
     return file_profiles.join(outcomes, "source_name", "left").withColumns(
         {
             "valid_rows": F.coalesce("valid_rows", "row_count"),
