@@ -42,13 +42,17 @@ def flag(c: Column | str, op: str, value) -> Column:
 
 
 def try_number(c: Column | str) -> Column:
-    """Text as double, NULL when it is not a number; digit groups may be joined by underscores."""
+    """Text as double, NULL when it is not a number; digit groups may be joined by underscores.
+
+    Text with a letter or underscore that the cast reads differently takes the slower full check.
+    """
     bare = strip(c)
-    return F.when(bare.rlike(NUMBER), F.replace(bare, F.lit("_"), F.lit("")).try_cast("double"))
+    checked = F.when(bare.rlike(NUMBER), F.replace(bare, F.lit("_"), F.lit("")).try_cast("double"))
+    return F.when(bare.rlike("[_xXdDfF]"), checked).otherwise(bare.try_cast("double"))
 
 
 def is_number(c: Column | str) -> Column:
-    return F.coalesce(strip(c).rlike(NUMBER), F.lit(False))
+    return try_number(c).isNotNull()
 
 
 def try_date(c: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import now, strip, try_date, try_number
+from ..functions import now, strip, try_date
 from ..schemas import text_schema
 
 MD5_LIMIT = 512 * 1024 * 1024  # above this a file is not read into one row
@@ -70,7 +70,7 @@ def _typed(name: str, kind: str) -> Column:
     if kind == "int":
         return coerce_int(name)
     if kind == "double":
-        return try_number(name)
+        return F.col(name).try_cast("double")
     if kind == "date":
         return try_date(name)
     return strip(name).try_cast(kind)

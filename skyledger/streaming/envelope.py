@@ -62,13 +62,22 @@ def st_build_envelope(rows: DataFrame, kind: Kind, source_system: str = SOURCE_S
     )
 
 
+def _once(df: DataFrame, *costly: Column) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    A filter on a plain column is pushed below it by copying the expression into the filter, which would
+    parse a message again for every mention. Filters do not pass a generator.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*costly))))
+
+
 def st_validate_envelope(messages: DataFrame) -> DataFrame:
     """Envelope columns of every message, with ``error_type`` and ``error_message`` where it is invalid.
 
     Nothing fails here: text that is not JSON, or not an object, is an error like any other. The first
     error found is kept: shape, missing fields, payload, time, topic, version.
     """
-    parsed = messages.withColumn("_v", F.try_parse_json("value"))
+    parsed = _once(messages, F.try_parse_json("value").alias("_v"))
 
     def text(name: str) -> Column:
         return F.try_variant_get("_v", f"$.{name}", "string")
@@ -110,7 +119,8 @@ def st_validate_envelope(messages: DataFrame) -> DataFrame:
         .when(~F.col("_object"), "AttributeError")
         .when(message.isNotNull(), "ValueError")
     )
-    return fields.select(
+    judged = _once(fields, kind.alias("error_type"), message.alias("error_message"))
+    return judged.select(
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         "kafka_offset",
@@ -122,6 +132,6 @@ def st_validate_envelope(messages: DataFrame) -> DataFrame:
         "schema_version",
         "entity_key",
         "payload",
-        kind.alias("error_type"),
-        message.alias("error_message"),
+        "error_type",
+        "error_message",
     )

@@ -15,7 +15,7 @@ from ..functions import md5_id
 from ..operators.dedupe import keep_first
 from .envelope import STREAM_TABLES, st_validate_envelope
 
-BUCKETS = 64
+BUCKETS = 16  # fixed for the life of a landing folder
 CONSUMER_GROUP = "skyledger-stream-loader"
 DLQ_TABLE, COUNTS_TABLE = "streaming_dlq", "streaming_run_counts"
 
