@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit, incremental
+from ..session import work_folder
 from .fixtures import RUN_ID, Tables
 from .registry import register
 
@@ -148,4 +149,19 @@ _INC = {
 def _(t: Tables):
     old = t.bookings.where("dup = 0").selectExpr("k", "1 + k % 30 as day", "ticket_price as price")
     new = t.bookings.where("dup = 1").selectExpr("k", "1 + (k + 1) % 30 as day", "ticket_price as price")
-    return incremental.delete_insert(old, new, ["day"], ["k"])
+    return incremental.delete_insert(old, new, "day", ["k"])
+
+
+@register(
+    "inc_merge_partitions",
+    """select * from inc_old where day not in (select day from inc_new) and k not in (select k from inc_new) union all select * from inc_new""",
+    **_INC,
+)
+def _(t: Tables):
+    """The same on a table that is written by partition and merged in place."""
+    path = work_folder(t.spark, "merged")
+    old = t.bookings.where("dup = 0").selectExpr("k", "1 + k % 30 as day", "ticket_price as price")
+    new = t.bookings.where("dup = 1").selectExpr("k", "1 + (k + 1) % 30 as day", "ticket_price as price")
+    incremental.write_partitions(old, path, "day")
+    incremental.merge_partitions(t.spark, path, new, "day", ["k"])
+    return t.spark.read.schema("k bigint, price string, day bigint").parquet(path)

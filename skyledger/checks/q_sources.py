@@ -75,7 +75,7 @@ def _(t: Tables):
 def _(t: Tables):
     folder = work_folder(t.spark, "latest")
     rows = t.bookings.select("booking_id", F.date_format(F.expr("try_cast(flight_date as date)"), "yyyy-MM-dd").alias("dt"))
-    files.write_csv(rows.dropna().repartition("dt"), folder, ["dt"])
+    tables.land(rows.dropna(), folder, ["dt"])
     last = files.latest_file(t.spark, folder)
     return files.list_files(t.spark, folder).where(F.col("path") == last).select(
         F.regexp_extract("path", "dt=([0-9-]+)", 1).alias("latest")
@@ -109,7 +109,7 @@ def _(t: Tables):
 def _(t: Tables):
     folder = work_folder(t.spark, "landing")
     rows = t.bookings.select("booking_id", "row_number", F.col("flight_date").alias("dt"))
-    tables.land(rows.repartition("dt"), folder, ["dt"])
+    tables.land(rows, folder, ["dt"])
     back = t.spark.read.option("header", True).schema("booking_id string, row_number string, dt string").csv(folder)
     return back.groupBy("dt").agg(
         F.count(F.lit(1)).alias("landed_rows"), F.count_distinct("row_number").alias("records")

@@ -9,6 +9,7 @@ from ..functions import blank_to_null
 
 HOT_SHARE = 1 / 200  # a key above this share of the rows is hot, so there are fewer than 200 of them
 SALTS = 32
+SMALL_KEYS = 100_000  # keys that may be broadcast: some megabytes
 
 
 def drop_blank_key(df: DataFrame, col: str) -> DataFrame:
@@ -34,9 +35,28 @@ def latest_run(df: DataFrame, run_col: str, time_col: str) -> DataFrame:
     return df.where(F.col(run_col) == newest)
 
 
-def rows_in(df: DataFrame, keys: DataFrame, col: str, anti: bool = False) -> DataFrame:
-    """Rows whose value is (or is not) among the keys."""
-    return df.join(keys.select(col).distinct(), col, "left_anti" if anti else "left_semi")
+def if_small(keys: DataFrame, limit: int = SMALL_KEYS) -> DataFrame | None:
+    """The keys marked for broadcast when there are at most ``limit`` of them, else None.
+
+    The count stops after ``limit`` rows, and it runs when the join is built, so a large target is never
+    shuffled just to learn that the other side was a handful of dates or paths.
+    """
+    return F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else None
+
+
+def rows_in(
+    df: DataFrame, keys: DataFrame, col: str, anti: bool = False, spread_by: list[str] | None = None
+) -> DataFrame:
+    """Rows whose value is (or is not) among the keys.
+
+    Few keys are broadcast and the rows stay where they are; many are joined by shuffle with hot values
+    spread over salts.
+    """
+    how, known = "left_anti" if anti else "left_semi", keys.select(col).distinct()
+    small = if_small(known)
+    if small is not None:
+        return df.join(small, col, how).select(*df.columns)
+    return key_lookup(df, known, col, how, spread_by or df.columns).select(*df.columns)
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import like_any
 from .dedupe import keep_first
+from .filters import rows_in
+
+MAX_DISTURBED = 10_000  # partitions named in a scan filter; more are found by a join
 
 
 def upsert(
@@ -50,35 +51,49 @@ def replace_slice(target: DataFrame, new: DataFrame, slice_col: str, patterns: l
     if patterns:
         kept = target.where(~F.coalesce(like_any(slice_col, patterns), F.lit(False)))
     else:
-        kept = target.join(new.select(slice_col).distinct(), slice_col, "left_anti").select(*target.columns)
+        kept = rows_in(target, new, slice_col, anti=True)
     return kept.unionByName(new.select(*target.columns))
 
 
-def delete_insert(target: DataFrame, new: DataFrame, part_cols: list[str], keys: list[str]) -> DataFrame:
-    """Drop the partitions that the new rows touch and every row with a new key, then add the new rows."""
-    touched = new.select(*part_cols).distinct()
-    kept = target.join(touched, part_cols, "left_anti")
-    if keys != part_cols:
+def delete_insert(target: DataFrame, new: DataFrame, part_col: str, keys: list[str]) -> DataFrame:
+    """Drop the partitions that the new rows touch and every row with a new key, then add the new rows.
+
+    Both the target and the new rows are unique by key, so the key join cannot pile up.
+    """
+    kept = rows_in(target, new, part_col, anti=True)
+    if keys != [part_col]:
         kept = kept.join(new.select(*keys).distinct(), keys, "left_anti")
     return kept.select(*target.columns).unionByName(new.select(*target.columns))
 
 
-def write_partitions(df: DataFrame, path: str, part_cols: list[str]) -> None:
+def merge_partitions(spark: SparkSession, path: str, new: DataFrame, part_col: str, keys: list[str]) -> None:
+    """The same on a table written below ``path`` by partition, rewriting no more than it must.
+
+    Partitions of the new rows are replaced without being read. Only where a new key sits in another
+    partition is that partition read and rewritten; the search for such keys reads the key columns alone.
+    """
+    target = spark.read.parquet(path)
+    elsewhere = rows_in(target.select(part_col, *keys), new, part_col, anti=True)
+    moved = elsewhere.join(new.select(*keys).distinct(), keys, "left_semi").select(part_col).distinct()
+    disturbed = [row[0] for row in moved.limit(MAX_DISTURBED + 1).collect()]
+    if len(disturbed) > MAX_DISTURBED:
+        others = rows_in(target, moved, part_col)
+    else:
+        others = target.where(F.col(part_col).isin(disturbed))  # prunes the scan to these partitions
+    others = others.join(new.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
+    write_partitions(new.select(*target.columns).unionByName(others), path, part_col)
+
+
+def write_partitions(df: DataFrame, path: str, part_col: str) -> None:
     """Replace exactly the partitions that ``df`` holds.
 
-    Rows are grouped by partition before the write, with AQE splitting large partitions, so that one task
-    does not open a file in every partition.
+    Rows are gathered by partition for the write, and AQE splits a partition that is too large for one
+    task, so there are few files and no hot task.
     """
     (
-        df.hint("rebalance", *part_cols)
+        df.hint("rebalance", part_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*part_cols)
+        .partitionBy(part_col)
         .parquet(path)
     )
-
-
-def affected_partitions(target: DataFrame, new: DataFrame, part_cols: list[str], keys: list[str]) -> DataFrame:
-    """Partitions an incremental write must rewrite: those of the new rows and those that hold a new key."""
-    by_key = target.join(new.select(*keys).distinct(), keys, "left_semi").select(*part_cols)
-    return reduce(DataFrame.unionByName, [new.select(*part_cols), by_key]).distinct()

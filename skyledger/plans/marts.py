@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import date_trunc_cast, extract_hour, ratio
-from ..operators.incremental import delete_insert
+from ..operators.filters import rows_in
 from .models import confirmed_price, refunded_price, row_count
 
 
@@ -47,10 +47,11 @@ def mart_booking_trend_daily(
     if existing is None:
         return trend
     if stg_bookings is not None:
-        staged = stg_bookings.select(date_trunc_cast("booking_time").alias("booking_date")).distinct()
-        existing = existing.join(staged, "booking_date", "left_anti").select(*trend.columns)
+        staged = stg_bookings.select(date_trunc_cast("booking_time").alias("booking_date"))
+        existing = rows_in(existing, staged, "booking_date", anti=True)
     keys = ["booking_date", "booking_hour", "booking_channel"]
-    return delete_insert(existing, trend, keys, keys)
+    replaced = existing.join(trend.select(*keys), keys, "left_anti").select(*trend.columns)
+    return replaced.unionByName(trend)
 
 
 def mart_route_performance(int_route_daily: DataFrame, int_flight_booking_bridge: DataFrame) -> DataFrame:

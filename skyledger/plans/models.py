@@ -91,7 +91,7 @@ def fact_flight_status(stg_flights: DataFrame) -> DataFrame:
 def fact_booking(stg_bookings: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """The booking fact; with an existing table, its state after the incremental run."""
     new = stg_bookings.drop("loaded_at")
-    return new if existing is None else delete_insert(existing, new, ["flight_date"], ["booking_id"])
+    return new if existing is None else delete_insert(existing, new, "flight_date", ["booking_id"])
 
 
 def fact_payment(stg_payments: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions import now, strip, try_date
 from ..schemas import text_schema
 
-MD5_LIMIT = 512 * 1024 * 1024  # above this a file is not read into one row
+MD5_LIMIT = 256 * 1024 * 1024  # above this a file is not read into one row
 BLOCK_TABLE_LIMIT = 200_000  # blocks whose offsets may be broadcast: about 40 MB
 
 
@@ -35,7 +35,9 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )
-    (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    writer.csv(path)
 
 
 def project_raw(df: DataFrame, rename: dict[str, str], columns) -> DataFrame:

@@ -8,14 +8,11 @@ from .files import write_csv
 
 
 def land(df: DataFrame, root: str, parts: list[str]) -> None:
-    """Land raw rows as delimited files below ``key=value`` folders; a rerun replaces its own keys only."""
-    spark = df.sparkSession
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_csv(df, root, parts)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    """Land raw rows as delimited files below ``key=value`` folders; a rerun replaces its own keys only.
+
+    Rows are gathered by key for the write, and AQE splits a key that is too large for one task.
+    """
+    write_csv(df.hint("rebalance", *parts), root, parts)
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -32,10 +29,11 @@ def write_table(
 ) -> str:
     """Write a result table as Parquet; with partitions, overwrite replaces only those it holds."""
     path = table_path(root, layer, name)
-    writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+        gathered = df.hint("rebalance", *partition_by).write.mode(mode)
+        gathered.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
     return path
 
 
