@@ -45,7 +45,7 @@ def main() -> None:
     seconds: dict[str, float] = {}
     started = time.perf_counter()
     tables = Tables(spark, sf_dir)
-    for name in ("bookings", "payments", "flights", "messages", "raw_bookings", "raw_payments"):
+    for name in ("bookings", "payments", "flights", "messages", "raw_flights", "raw_bookings", "raw_payments"):
         tables[name]
     seconds["land_sources"] = round(time.perf_counter() - started, 3)
     for name in names:

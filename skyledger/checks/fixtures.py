@@ -328,7 +328,7 @@ class Tables:
 
     # Raw tables -------------------------------------------------------------------------------
 
-    @cached_property
+    @stored("raw")
     def raw_flights(self) -> DataFrame:
         named = files.project_raw(self.flights, schemas.FLIGHT_COLUMNS, schemas.RAW_FLIGHTS)
         return files.typed(named, schemas.RAW_FLIGHTS).select("*", _loaded_at())
