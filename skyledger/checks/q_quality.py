@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit, quality, rules
+from ..session import work_folder
+from ..sources import tables
 from .fixtures import RUN_ID, Tables
 from .oracle import dirty
 from .registry import register
@@ -156,13 +158,16 @@ def _(t: Tables):
 
 @register(
     "dq_persist_errors",
-    f"select error_id, '{RUN_ID}' as run_id, rule_name, record_key from dq_stored where severity='WARN'",
+    f"select error_id, '{RUN_ID}' as run_id, rule_name, record_key, column_name from dq_stored",
 )
 def _(t: Tables):
-    """A rerun after the errors, but not the warnings, had been stored."""
-    found = t.checked_bookings.errors.unionByName(t.checked_payments.errors)
-    stored = audit.persist_errors(found.where("severity = 'ERROR'"), RUN_ID, found.limit(0))
-    return audit.persist_errors(found, RUN_ID, stored).select("error_id", "run_id", "rule_name", "record_key")
+    """The bookings' errors are stored; then a run stores those of both sources."""
+    first, second = t.checked_bookings.errors, t.checked_payments.errors
+    stored = audit.persist_errors(first, RUN_ID, first.limit(0))
+    path = tables.write_table(stored, work_folder(t.spark, "stored"), "metadata", "dq_record_errors")
+    more = audit.persist_errors(first.unionByName(second), RUN_ID, t.spark.read.parquet(path))
+    tables.write_table(more, path.removesuffix("/metadata/dq_record_errors"), "metadata", "dq_record_errors", "append")
+    return t.spark.read.parquet(path).select("error_id", "run_id", "rule_name", "record_key", "column_name")
 
 
 @register(

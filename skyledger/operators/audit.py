@@ -113,9 +113,9 @@ def run_log(
 
 
 def persist_errors(errors: DataFrame, run_id: str, target: DataFrame) -> DataFrame:
-    """Error rows to append: those this run has not stored yet."""
+    """Error rows to append: those this run has not stored yet, the earliest rule's where ids are equal."""
     rows = errors.withColumns({"run_id": F.lit(run_id), "error_id": md5_id(F.lit(run_id), "error_id")})
-    return insert_missing(target, rows, ["error_id"])
+    return insert_missing(target, rows, ["error_id"], [F.col("place").asc()]).drop("place")
 
 
 def persist_quarantine(rows: DataFrame, run_id: str, source_name: str, target: DataFrame) -> DataFrame:

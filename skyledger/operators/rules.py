@@ -18,8 +18,9 @@ ERROR, WARN = "ERROR", "WARN"
 
 LOG_COLUMNS = [
     "error_id", "source_name", "file_path", "row_number", "record_key",
-    "severity", "rule_name", "column_name", "bad_value", "error_message", "action_taken",
+    "severity", "rule_name", "column_name", "bad_value", "error_message", "action_taken", "place",
 ]
+SET_RULE = 100  # place of findings about sets of records, after every row rule
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,9 @@ class Rule:
     message: str
     action: str
 
-    def finding(self) -> Column:
+    def finding(self, place: int) -> Column:
+        """The finding, with the place of its rule: an error id leaves the column out, so two findings of
+        one record can share it, and the one of the earlier rule is stored."""
         return F.struct(
             F.lit(self.severity).alias("severity"),
             F.lit(self.name).alias("rule_name"),
@@ -42,6 +45,7 @@ class Rule:
             F.coalesce(self.bad_value, F.lit("")).alias("bad_value"),
             F.lit(self.message).alias("error_message"),
             F.lit(self.action).alias("action_taken"),
+            F.lit(place).alias("place"),
         )
 
 
@@ -126,7 +130,7 @@ def breaks_any(rules: list[Rule], severity: str | None = None) -> Column:
 
 def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add ``errors``, the findings of every broken rule in rule order."""
-    found = F.array_compact(F.array(*[F.when(rule.broken, rule.finding()) for rule in rules]))
+    found = F.array_compact(F.array(*[F.when(r.broken, r.finding(n)) for n, r in enumerate(rules)]))
     return df.withColumn("errors", found)
 
 
@@ -163,4 +167,6 @@ def log_rows(findings: DataFrame, source_name: str) -> DataFrame:
     """Give findings their source and stable id."""
     named = findings.withColumn("source_name", F.lit(source_name))
     error_id = md5_id("source_name", "row_number", "rule_name", "record_key", "bad_value")
+    if "place" not in findings.columns:
+        named = named.withColumn("place", F.lit(SET_RULE))
     return named.withColumn("error_id", error_id).select(*LOG_COLUMNS)

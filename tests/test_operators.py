@@ -297,6 +297,14 @@ def test_generated_bookings_are_linked_and_bounded(rows):
     assert inject.gen_bookings_from_flights(flights, target_rows=10).count() == 10
 
 
+def test_equal_error_ids_keep_the_earlier_rule(spark):
+    src = bookings(spark, [{"booking_id": "", "flight_id": ""}])
+    log = quality.validate_bookings(src).errors
+    assert log.count() == 2
+    stored = audit.persist_errors(log, "run", log.limit(0)).collect()
+    assert [r.column_name for r in stored] == ["booking_id"]
+
+
 def test_error_ids_are_stable(spark):
     src = bookings(spark, [{"ticket_price": "x"}])
     row = rules.error_log(src, quality.booking_rules(), "booking_id", "bookings", F.col("file_path")).first()
