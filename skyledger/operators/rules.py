@@ -155,9 +155,9 @@ def split(df: DataFrame, rules: list[Rule], key: str) -> tuple[DataFrame, DataFr
 
 
 def error_log(df: DataFrame, rules: list[Rule], key: str, source_name: str, file_path: Column) -> DataFrame:
-    """One row per broken rule; clean rows are dropped before any finding is built."""
-    broken = df.where(breaks_any(rules)).withColumn("record_key", record_key(key))
-    exploded = apply_rules(broken, rules).select(
+    """One row per broken rule; every rule is evaluated once per row and a clean row yields nothing."""
+    keyed = df.withColumn("record_key", record_key(key))
+    exploded = apply_rules(keyed, rules).select(
         "row_number", "record_key", file_path.alias("file_path"), F.inline("errors")
     )
     return log_rows(exploded, source_name)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import md5_id
 from ..operators.dedupe import keep_first
+from ..operators.filters import if_small
 from .envelope import STREAM_TABLES, st_validate_envelope
 
 BUCKETS = 16  # fixed for the life of a landing folder
@@ -52,8 +53,17 @@ def first_deliveries(events: DataFrame) -> DataFrame:
 
 
 def not_landed(events: DataFrame, landed: DataFrame) -> DataFrame:
-    """First deliveries of events the table does not hold; only its event ids are read."""
-    return first_deliveries(events).join(landed.select("event_id"), "event_id", "left_anti")
+    """First deliveries of events the table does not hold; only its event ids are read.
+
+    The ids of a small batch are broadcast to the table, which then is not shuffled.
+    """
+    once = first_deliveries(events)
+    ids = events.select("event_id")
+    few = if_small(ids)
+    held = landed.select("event_id")
+    if few is not None:
+        held = held.join(few, "event_id", "left_semi")
+    return once.join(held, "event_id", "left_anti")
 
 
 def dead_letters(events: DataFrame, consumer_group: str = CONSUMER_GROUP) -> DataFrame:
