@@ -75,13 +75,13 @@ select n_nationkey*2+v as id, case v when 0 then 'K' else 'X' end||code as ident
  cast(n_nationkey*3-36 as string)||'.25' as latitude_deg, cast(n_nationkey*7-84 as string)||'.5' as longitude_deg, cast(n_nationkey*100 as string) as elevation_ft, 'R'||cast(n_regionkey as string) as continent,
  'c'||cast(n_regionkey as string) as iso_country, 'c'||cast(n_regionkey as string)||'-'||cast(n_nationkey as string) as iso_region, case when n_nationkey%4=0 then '  ' else 'City '||cast(n_nationkey as string) end as municipality,
  case v when 0 then 'yes' else 'no' end as scheduled_service, case when n_nationkey%9=8 then null else lower(code) end as gps_code, case when v=0 and n_nationkey%9<>8 then code else '' end as iata_code
-from (select n.*, 'A'||lpad(cast(n_nationkey as string),2,'0') as code, v from nation n cross join (select 0 as v union all select 1 as v) x) y
+from (select n.*, 'A'||lpad(cast(n_nationkey as string),2,'0') as code, 0 as v from nation n union all select n.*, 'A'||lpad(cast(n_nationkey as string),2,'0'), 1 from nation n) y
 """
 
 MESSAGES_SQL = """
 select case when event_type in ('purchase','signup') then 'payment_events' else 'booking_events' end as topic, cast(user_id%3 as int) as partition, event_id*2+r as kafka_offset,
  case when event_id%503=7 then '{not json' else '{"event_id":"'||case when event_id%401=3 then '' else 'e'||cast(event_id as string) end||'","event_type":"'||upper(event_type)||'","event_time":"'||case when event_id%409=5 then 'yesterday' else '2026-04-'||lpad(cast(1+event_id%30 as string),2,'0')||'T'||lpad(cast(event_id%24 as string),2,'0')||':00:00Z' end||'","source_system":"fixture","schema_version":'||case when event_id%419=9 then '"x"' else '1' end||',"entity_key":"u'||cast(user_id as string)||'","payload":'||case when event_id%421=11 then '"text"' else props end||'}' end as value
-from (select e.*, r from events e cross join (select 0 as r union all select 1 as r) x where r=0 or event_id%25=0) y
+from (select e.*, 0 as r from events e union all select e.*, 1 from events e where event_id%25=0) y
 """
 
 # One delivered file per month of orders, with the earlier loads of the same slices: months 0 mod 3 hold
@@ -139,6 +139,12 @@ def _loaded_at() -> Column:
 _stored: dict[tuple[str, str, str], str] = {}
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal rows out where the input is fewer files than there are cores; many files are parallel as they are."""
+    files_read = len(df.inputFiles())
+    return df.hint("rebalance") if files_read < df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def stored(layer: str):
     """A table that is written to the work folder once per session, then read from there.
 
@@ -153,7 +159,7 @@ def stored(layer: str):
             slot = (self.spark.sparkContext.applicationId, self.sf_dir, name)
             if slot not in _stored:
                 root = work_folder(self.spark, "tables")
-                _stored[slot] = tables.write_table(build(self).hint("rebalance"), root, layer, name)
+                _stored[slot] = tables.write_table(_spread(build(self)), root, layer, name)
             return self.spark.read.parquet(_stored[slot])
 
         get.__name__, get.__doc__ = name, build.__doc__

@@ -15,14 +15,14 @@ from .q_sources import _rows
 from .registry import register
 
 
-def _streamed(t: Tables, waves: int = 2) -> str:
+def _streamed(t: Tables) -> str:
     """Land the messages through a stream and return its root folder.
 
     First deliveries (even offsets) come first. Redeliveries (odd offsets) come in a second run that
     starts from the checkpoint of the first.
     """
     root, inbox = work_folder(t.spark, "stream"), work_folder(t.spark, "inbox")
-    for wave in range(waves):
+    for wave in (0, 1):
         arrived = t.messages.where(F.col("kafka_offset") % 2 == wave)
         arrived.write.mode("append").parquet(inbox)
         stream = read_messages(t.spark, inbox, max_per_batch=1000)
@@ -126,12 +126,11 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """The stream runs, and runs again from its checkpoint with nothing new."""
-    root = _streamed(t)
-    inbox = work_folder(t.spark, "inbox")
+    root, inbox = work_folder(t.spark, "stream"), work_folder(t.spark, "inbox")
     t.messages.write.parquet(inbox)
-    landing.st_commit_batches(read_messages(t.spark, inbox), f"{root}/checkpoint-2", root + "-2")
-    landing.st_commit_batches(read_messages(t.spark, inbox), f"{root}/checkpoint-2", root + "-2")
-    rows, letters = _landed(t, root + "-2"), landing.read_landed(t.spark, root + "-2", landing.DLQ_TABLE)
+    for _run in range(2):
+        landing.st_commit_batches(read_messages(t.spark, inbox), f"{root}/checkpoint", root)
+    rows, letters = _landed(t, root), landing.read_landed(t.spark, root, landing.DLQ_TABLE)
     return rows.agg(
         F.lit("landed").alias("what"), F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids")
     ).unionByName(
