@@ -98,7 +98,7 @@ def suffixes(rows: DataFrame, length: int, rounds: int = ROUNDS) -> DataFrame:
     names = [f"k{i}" for i in range(rounds)]
 
     def build(batches):
-        for part in slices(batches, text_sizes, 2_000_000):
+        for part in slices(batches, text_sizes, 1_000_000):
             shard = Shard(part.column("text").to_pylist(), length)
             if not len(shard.first):
                 continue
@@ -171,16 +171,15 @@ def repeated(docs: DataFrame, length: int = LENGTH, rounds: int = ROUNDS, wide:
     held = rows.select(*KEY, "text").join(wanted, KEY)
 
     def cut(batches):
-        for batch in batches:
-            for part in slices([batch], text_sizes, 1_000_000):
-                out = []
-                for doc, text_key, text, runs in zip(*(part.column(c).to_pylist() for c in (*KEY, "text", "runs")), strict=True):
-                    raw = text.encode()
-                    out += [(doc, text_key, r["block"], r["alone"], r["wide"], r["first"], raw[r["first"] : r["last"] + length]) for r in runs]
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.binary())
-                for lo in range(0, len(out), 5_000):
-                    cols = zip(*out[lo : lo + 5_000], strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[*KEY, "block", "alone", "wide", "first", "bytes"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.binary())
+        for part in slices(batches, text_sizes, 1_000_000):
+            out = []
+            for doc, text_key, text, runs in zip(*(part.column(c).to_pylist() for c in (*KEY, "text", "runs")), strict=True):
+                raw = text.encode()
+                out += [(doc, text_key, r["block"], r["alone"], r["wide"], r["first"], raw[r["first"] : r["last"] + length]) for r in runs]
+            for lo in range(0, len(out), 5_000):
+                cols = zip(*out[lo : lo + 5_000], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[*KEY, "block", "alone", "wide", "first", "bytes"])
 
     strings = held.mapInArrow(cut, "doc_key long, text_key long, block long, alone boolean, wide boolean, first int, bytes binary")
     buckets = BUCKETS_EACH * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -229,19 +228,18 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = _with_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), length)
 
     def cut(batches):
-        for batch in batches:
-            for part in slices([batch], text_sizes):
-                out = []
-                for doc, text, runs in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "__runs")), strict=True):
-                    raw = text.encode()
-                    if runs:
-                        gone = _covered(len(raw), runs, length)
-                        spans = int(np.count_nonzero(np.diff(np.concatenate(([0], gone.view(np.int8)))) == 1))
-                        out.append((doc, len(raw), int(gone.sum()), spans, np.frombuffer(raw, np.uint8)[~gone].tobytes()))
-                    else:
-                        out.append((doc, len(raw), 0, 0, raw))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        for part in slices(batches, text_sizes):
+            out = []
+            for doc, text, runs in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "__runs")), strict=True):
+                raw = text.encode()
+                if runs:
+                    gone = _covered(len(raw), runs, length)
+                    spans = int(np.count_nonzero(np.diff(np.concatenate(([0], gone.view(np.int8)))) == 1))
+                    out.append((doc, len(raw), int(gone.sum()), spans, np.frombuffer(raw, np.uint8)[~gone].tobytes()))
+                else:
+                    out.append((doc, len(raw), 0, 0, raw))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return rows.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
@@ -254,7 +252,7 @@ def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     names = docs.columns
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches, text_sizes):
             texts, runs = batch.column("text").to_pylist(), batch.column("__runs").to_pylist()
             for i, r in enumerate(runs):
                 if r:

@@ -40,7 +40,21 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches, weight, most: int = 4_000_000):
+def release() -> None:
+    """Give free memory back to the system: an idle worker would keep it from the other processes of its executor."""
+    import ctypes
+
+    import pyarrow as pa
+
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def slices(batches, weight, most: int = 2_000_000):
     """Cut Arrow batches where ``weight(batch)`` (an array of sizes by row) adds up to ``most``."""
     for batch in batches:
         if not batch.num_rows:
@@ -50,6 +64,7 @@ def slices(batches, weight, most: int = 4_000_000):
         for lo, hi in itertools.pairwise(cuts):
             if hi > lo:
                 yield batch.slice(lo, hi - lo)
+    release()
 
 
 def text_sizes(batch, name: str = "text"):
