@@ -29,8 +29,8 @@ from .common import MAX_LONG, SECOND, U64, Rolling, keyed, mix, saved, slices, t
 
 LENGTH = 400
 GRAM, ROUNDS = 16, 2
-#: Different runs of a block above which its windows are counted one by one.
-WIDE = 1_000
+#: Different runs of a block above which its windows are counted one by one: that many are 6 MB in a task.
+WIDE = 10_000
 BUCKETS_EACH = 16
 KEY = ["doc_key", "text_key"]
 RUN = "doc_key long, text_key long, first int, last int"
@@ -121,7 +121,8 @@ def refine(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         block = found.groupBy(f"k{k}").agg(F.count("*").alias("n")).where("n > 1").select(f"k{k}")
         found = found.join(block, f"k{k}", "left_semi")
         if k < rounds - 1:
-            found = found.drop(f"k{k}")
+            # few are left: the next round starts from a written table, not from the texts again
+            found = saved(found.drop(f"k{k}"), "suffixes")
     return found.withColumnRenamed(f"k{rounds - 1}", "block")
 
 
@@ -168,7 +169,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, rounds: int = ROUNDS, wide:
     # one run of each class where there are several
     ones = classes.where("kinds > 1").select("block", F.col("n").alias("n"), "kinds", "one.*")
     wanted = ones.groupBy(*KEY).agg(F.collect_list(F.struct("block", (F.col("n") == 1).alias("alone"), (F.col("kinds") > wide).alias("wide"), "first", "last")).alias("runs"))
-    held = rows.select(*KEY, "text").join(wanted, KEY)
+    held = rows.join(wanted, KEY)  # with all columns, so that the rows are dealt out once for this and for the last join
 
     def cut(batches):
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int32(), pa.binary())
@@ -225,7 +226,8 @@ def _with_runs(docs: DataFrame, length: int) -> DataFrame:
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per document: bytes, bytes removed, maximal removed runs, and the bytes that are left."""
-    rows = _with_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), length)
+    runs = repeated(docs, length).groupBy(*KEY).agg(F.collect_list(F.struct("first", "last")).alias("__runs"))
+    rows = keyed(docs).join(runs, KEY, "left")
 
     def cut(batches):
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
