@@ -183,10 +183,14 @@ def _checked(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 
 def _pivots(members: DataFrame, most: int) -> DataFrame:
-    """Up to ``most`` members of each bucket that were no pivot yet, those of its smallest components first."""
+    """Up to ``most`` members of each bucket that were no pivot yet, those of its smallest components first.
+
+    Of equally small ones the most central comes first: that whose buckets hold most members, as those of a text do from
+    which many others were made.
+    """
     count = members.groupBy("band", "label").agg(F.count("*").alias("n"))
     open_members = members.where("not done").join(count, ["band", "label"])
-    order = Window.partitionBy("band").orderBy("n", "label", "node")
+    order = Window.partitionBy("band").orderBy("n", F.desc("central"), "label", "node")
     first = open_members.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
     return first.select("band", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
 
@@ -194,28 +198,41 @@ def _pivots(members: DataFrame, most: int) -> DataFrame:
 def linked(rows: DataFrame, signs: DataFrame, words: int, threshold: float, size: int, each: int) -> DataFrame:
     """(node, label) of the multisets that have a link, labelled by component."""
     banded = _bands(signs, size, each)
-    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    members = saved(banded.join(shared, "band", "left_semi").select("band", "node", F.col("node").alias("label"), F.lit(False).alias("done")), "bands")
+    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = saved(banded.join(shared, "band"), "bands")
+    central = members.groupBy("node").agg(F.sum("n").alias("central"))
+    members = members.join(central, "node").select("band", "node", F.col("node").alias("label"), F.lit(False).alias("done"), "central")
+    members = saved(members, "bands")
     nodes = members.select("node").distinct()
     one_row = signs.join(nodes, "node", "left_semi").select("doc_key", "text_key", "node")
     bags = saved(multisets(rows.join(one_row, ["doc_key", "text_key"], "left_semi"), words).dropDuplicates(["node"]), "multisets")
     few = saved(signs.join(nodes, "node", "left_semi").select("node", "signature"), "signatures")
-    links, most = None, 1
-    while True:
-        pivots = _pivots(members, most)
-        pairs = members.join(pivots, "band").where("label <> pivot_label")
+
+    def found(pairs: DataFrame) -> DataFrame:
         pairs = saved(pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
-        new = saved(_checked(_alike(pairs, few, threshold, size), bags, threshold), "links")
-        links = new if links is None else links.unionByName(new)
+        return saved(_checked(_alike(pairs, few, threshold, size), bags, threshold), "links")
+
+    def labelled(members: DataFrame, label: DataFrame) -> DataFrame:
+        to = label.withColumnRenamed("label", "to")
+        return members.join(to, "node", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
+
+    # first each node meets the most central member of all its buckets; that joins most of what belongs together
+    middle = members.groupBy("band").agg(F.max(F.struct("central", "node")).alias("m"))
+    middle = members.join(middle, "band").groupBy("node").agg(F.max("m").alias("m"))
+    links, most = found(middle.select("node", F.col("m.node").alias("pivot")).where("node <> pivot")), 1
+    while True:
         label = saved(components(links), "labels")
-        was = pivots.select("band", F.col("pivot").alias("node"), F.lit(True).alias("now"))
-        members = members.join(was, ["band", "node"], "left").join(label.withColumnRenamed("label", "to"), "node", "left")
-        members = members.select("band", "node", F.coalesce("to", "label").alias("label"), (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
+        members = labelled(members, label)
         # done: buckets whose members that were no pivot are in one component, so all others have met them
         still = members.where("not done").groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
-        members, most = saved(members.join(still, "band", "left_semi"), "bands"), most * 2
+        members = saved(members.join(still, "band", "left_semi"), "bands")
         if members.isEmpty():
             return label
+        pivots = saved(_pivots(members, most), "pivots")
+        links = links.unionByName(found(members.join(pivots, "band").where("label <> pivot_label")))
+        was = pivots.select("band", F.col("pivot").alias("node"), F.lit(True).alias("now"))
+        members = members.join(was, ["band", "node"], "left").withColumn("done", F.col("done") | F.coalesce("now", F.lit(False))).drop("now")
+        most *= 2
 
 
 def classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, size: int = SIZE, rows: int = ROWS) -> DataFrame:
