@@ -1,10 +1,10 @@
-"""Dirty-data injection and booking generation."""
+"""Dirty-data injection."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import filters, inject
+from ..operators import inject
 from .fixtures import Tables
 from .registry import register
 
@@ -119,59 +119,3 @@ def _(t: Tables):
     )
     rates = {"negative": 0.1, "out_of_order": 0.1, "missing_customer": 0.1, "mismatch": 0.1}
     return inject.inj_numeric_time(rows, "id", rates, SEED).drop("created_at")
-
-
-@register(
-    "gen_weighted_choice",
-    f"""select o_orderkey, case when d<{int(0.45 * _SPAN)} then 'WEB' when d<{int(0.79 * _SPAN)} then 'MOBILE_APP' when d<{int((0.45 + 0.34 + 0.14) * _SPAN)} then 'AGENCY' else 'CALL_CENTER' end as channel
-from (select o_orderkey, {_draw('o_orderkey', 'choice')} as d from orders) z""",
-)
-def _(t: Tables):
-    channel = inject.gen_weighted_choice(
-        "o_orderkey", ["WEB", "MOBILE_APP", "AGENCY", "CALL_CENTER"], [0.45, 0.34, 0.14, 0.07], SEED
-    )
-    return _orders(t).select("o_orderkey", channel.alias("channel"))
-
-
-def _dealt(digest: str, place: int) -> str:
-    return f"('0x'||substr({digest},{7 * place + 1},7))::bigint"
-
-
-def _weighted(at: str, values: list[str], weights: list[float]) -> str:
-    edges = [int(sum(weights[: n + 1]) / sum(weights) * _SPAN) for n in range(len(weights) - 1)]
-    cases = " ".join(f"when {at}<{edge} then '{value}'" for value, edge in zip(values, edges))
-    return f"case {cases} else '{values[-1]}' end"
-
-
-_GEN = {
-    "seats": f"""select flight_key, Origin||'-'||Dest as route, Distance::double as distance, FlightDate::timestamp as day,
- unnest(range(0, 30+({_draw('flight_key', 'seats')}%151)::int)) as seat from flights where FlightDate is not null and Cancelled=0 and Diverted=0""",
-    "digests": f"""select route, 65.0::double+distance*0.16::double as base, day, sha256('{SEED}-'||flight_key||'-'||seat||'|_a') as a,
- sha256('{SEED}-'||flight_key||'-'||seat||'|_b') as b from seats""",
-    "made": f"""select route, {_weighted(_dealt('a', 7), ['WEB', 'MOBILE_APP', 'AGENCY', 'CALL_CENTER'], [0.45, 0.34, 0.14, 0.07])} as booking_channel,
- {_weighted(_dealt('a', 5), ['CONFIRMED', 'CANCELLED', 'PENDING'], [0.88, 0.07, 0.05])} as booking_status,
- {_weighted(_dealt('a', 6), ['PAID', 'FAILED', 'REFUNDED'], [0.9, 0.06, 0.04])} as paid, {_dealt('b', 1)}<{int(0.55 * _SPAN)} as again,
- day-to_minutes(((1+{_dealt('a', 2)}%90)*1440+{_dealt('a', 3)}%1441)::int) as booking_time,
- round(greatest(30.0::double, base+base*0.18::double*sqrt(-2.0::double*ln(1.0::double-{_dealt('a', 0)}/{_SPAN}.0::double))*cos(6.283185307179586::double*({_dealt('a', 1)}/{_SPAN}.0::double))),2)::decimal(18,2) as price
- from digests""",
-    "settled": "select *, case when booking_status='CANCELLED' and again then 'REFUNDED' else paid end as payment_status from made",
-}
-
-
-@register(
-    "gen_bookings_from_flights",
-    """select route, booking_channel, booking_status, payment_status, count(*) as bookings, sum(price)::double as revenue,
- sum(case when payment_status='FAILED' then 0 else price end)::double as paid, sum(case when payment_status='REFUNDED' then price else 0 end)::double as refunded,
- min(booking_time)::varchar as first_booking from settled group by 1,2,3,4""",
-    **_GEN,
-)
-def _(t: Tables):
-    """Bookings of every flown flight, summed by route and outcome."""
-    made = inject.gen_bookings_from_flights(filters.flown_flights(t.flights), seed=SEED)
-    return made.groupBy("route", "booking_channel", "booking_status", "payment_status").agg(
-        F.count(F.lit(1)).alias("bookings"),
-        F.sum("ticket_price").alias("revenue"),
-        F.sum("amount").alias("paid"),
-        F.sum("refund_amount").alias("refunded"),
-        F.min("booking_time").alias("first_booking"),
-    )

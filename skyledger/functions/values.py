@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from .text import _col, strip
 
-# Text read as true, the ISO date prefix, and the number syntax of the validator.
+# Text read as true, ISO dates with or without a time, and the number syntax of the validator.
 TRUE_WORDS = ["true", "t", "1", "yes", "y"]
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d\S*$"
 _DIGITS = r"\d+(_\d+)*"
 NUMBER = rf"(?i)^[+-]?(inf|infinity|nan|({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})(e[+-]?{_DIGITS})?)$"
 
@@ -56,9 +57,11 @@ def is_number(c: Column | str) -> Column:
 
 
 def try_date(c: Column | str) -> Column:
-    """Text as date, NULL unless it starts with a full ISO date."""
+    """Text as date, NULL unless the whole of it is an ISO date, or one with a time that can be read too."""
     value = _col(c)
-    return F.when(value.rlike(ISO_DATE), value.try_cast("date"))
+    day = F.substring(value, 1, 10).try_cast("date")
+    timed = value.rlike(ISO_TIME) & value.try_cast("timestamp").isNotNull()
+    return F.when(value.rlike(ISO_DATE + "$") | timed, day)
 
 
 def is_date(c: Column | str) -> Column:

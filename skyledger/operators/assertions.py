@@ -34,10 +34,10 @@ def as_relationships(child: DataFrame, col: str, parent: DataFrame, key: str) ->
     return values.join(known, col, "left_anti")
 
 
-def orphan_rows(child: DataFrame, col: str, parent: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
-    """The child rows themselves; hot values are spread by ``spread_by``."""
+def orphan_rows(child: DataFrame, col: str, parent: DataFrame, key: str) -> DataFrame:
+    """The child rows themselves."""
     known = parent.select(F.col(key).alias(col)).distinct()
-    return key_lookup(child.where(F.col(col).isNotNull()), known, col, "left_anti", spread_by)
+    return key_lookup(child.where(F.col(col).isNotNull()), known, col, "left_anti")
 
 
 def as_non_negative_delay(fact_flight_status: DataFrame) -> DataFrame:

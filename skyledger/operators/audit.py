@@ -122,7 +122,7 @@ def persist_quarantine(rows: DataFrame, run_id: str, source_name: str, target: D
     """Quarantined rows to append, each with the whole row as JSON."""
     raw = [name for name in rows.columns if name != "file_path"]
     out = rows.select(
-        md5_id(F.lit(run_id), F.lit(source_name), "row_number", "record_key").alias("quarantine_id"),
+        md5_id(F.lit(run_id), F.lit(source_name), "file_path", "row_number", "record_key").alias("quarantine_id"),
         F.lit(run_id).alias("run_id"),
         F.lit(source_name).alias("source_name"),
         "file_path",

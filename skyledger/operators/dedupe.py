@@ -21,15 +21,16 @@ def keep_latest(df: DataFrame, keys: list[str | Column], order_cols: list[str |
     return keep_first(df, keys, [_col(c).desc_nulls_first() for c in order_cols])
 
 
-def repeats(df: DataFrame, key: str, row_id: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``key``, ``row_id`` and the carried columns of the second and later rows of each key.
+def repeats(df: DataFrame, keys: list[str], row_id: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
+    """The keys, row ids and carried columns of the second and later rows of each key.
 
-    Only these columns are shuffled. First rows come from a partial aggregate and are removed by
-    their unique row id, so no task ever holds all rows of a key.
+    ``row_id`` is what tells rows apart, such as file and record number. Only keys with more than one row leave the
+    partial aggregate, and rows are joined to those, so most are not shuffled whole and a hot key can be split.
     """
-    narrow = df.select(key, row_id, *carry)
-    firsts = narrow.groupBy(key).agg(F.min(row_id).alias(row_id)).select(row_id)
-    return narrow.join(firsts, row_id, "left_anti").select(key, row_id, *carry)
+    narrow = df.select(*keys, *row_id, *carry)
+    several = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*row_id)).alias("_first"))
+    again = narrow.join(several.where("_n > 1").drop("_n"), keys)
+    return again.where(F.struct(*row_id) != F.col("_first")).select(*keys, *row_id, *carry)
 
 
 def _col(c: str | Column) -> Column:

@@ -7,17 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import blank_to_null
 
-HOT_SHARE = 1 / 200  # a key above this share of the rows is hot, so there are fewer than 200 of them
-SALTS = 32
-SMALL_KEYS = 100_000  # keys that may be broadcast: some megabytes
-
 
 def drop_blank_key(df: DataFrame, col: str) -> DataFrame:
     return df.where(blank_to_null(col).isNotNull())
 
 
 def flown_flights(df: DataFrame, n: int | None = None, order_by: list[str] | None = None) -> DataFrame:
-    """Complete flights that were neither cancelled nor diverted; with ``n`` the first of them."""
+    """Complete flights that were neither cancelled nor diverted; with ``n`` the first of them in the given order."""
     present = F.lit(True)
     for name in ("FlightDate", "Reporting_Airline", "Origin", "Dest"):
         present = present & (F.coalesce(F.col(name), F.lit("")) != "")
@@ -26,7 +22,9 @@ def flown_flights(df: DataFrame, n: int | None = None, order_by: list[str] | Non
         flown = flown.where(F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)) == 0)
     if n is None:
         return flown
-    return flown.orderBy(*order_by).limit(n) if order_by else flown.limit(n)
+    if not order_by:
+        raise ValueError("the first flights need an order")
+    return flown.orderBy(*order_by).limit(n)
 
 
 def latest_run(df: DataFrame, run_col: str, time_col: str) -> DataFrame:
@@ -35,56 +33,17 @@ def latest_run(df: DataFrame, run_col: str, time_col: str) -> DataFrame:
     return df.where(F.col(run_col) == newest)
 
 
-def if_small(keys: DataFrame, limit: int = SMALL_KEYS) -> DataFrame | None:
-    """The keys marked for broadcast when there are at most ``limit`` of them, else None.
-
-    The count stops after ``limit`` rows, and it runs when the join is built, so a large target is never
-    shuffled just to learn that the other side was a handful of dates or paths.
-    """
-    return F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else None
-
-
-def rows_in(
-    df: DataFrame, keys: DataFrame, col: str, anti: bool = False, spread_by: list[str] | None = None
-) -> DataFrame:
-    """Rows whose value is (or is not) among the keys.
-
-    Few keys are broadcast and the rows stay where they are; many are joined by shuffle with hot values
-    spread over salts.
-    """
-    how, known = "left_anti" if anti else "left_semi", keys.select(col).distinct()
-    small = if_small(known)
-    if small is not None:
-        return df.join(small, col, how).select(*df.columns)
-    return key_lookup(df, known, col, how, spread_by or df.columns).select(*df.columns)
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: at most ``1 / share`` of them."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.where(F.col("n") > total * F.lit(share)).select(key)
+def rows_in(df: DataFrame, keys: DataFrame, col: str, anti: bool = False) -> DataFrame:
+    """Rows whose value is (or is not) among the keys."""
+    return key_lookup(df, keys.select(col).distinct(), col, "left_anti" if anti else "left_semi").select(*df.columns)
 
 
-def key_lookup(df: DataFrame, keys: DataFrame, key: str, how: str, spread_by: list[str]) -> DataFrame:
-    """Semi, anti or left join of rows to distinct keys with hot keys spread over salts.
+def key_lookup(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """Semi, anti or left join of rows to distinct keys.
 
-    The hot keys are bounded by ``1 / HOT_SHARE`` whatever the size of the data, so broadcasting
-    them is safe. Their rows (and rows without a key, which match nothing) are dealt out by a hash of
-    ``spread_by``, which must identify a row; every other key keeps its one partition.
+    One plan for every size: AQE broadcasts keys that prove small, and splits the rows of a hot key over tasks.
     """
-    hot = F.broadcast(hot_keys(df.select(key), key).withColumn("_hot", F.lit(True)))
-    dealt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
-    rows = df.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), dealt).otherwise(0)
-    )
-    one, all_salts = F.array(F.lit(0)), F.sequence(F.lit(0), F.lit(SALTS - 1))
-    lookup = (
-        keys.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(one)))
-        .drop("_hot")
-    )
-    return rows.join(lookup, [key, "_salt"], how).drop("_salt", "_hot")
+    return df.join(keys, key, how)
 
 
 def not_null_all(df: DataFrame, *cols: str) -> DataFrame:

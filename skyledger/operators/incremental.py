@@ -9,8 +9,6 @@ from ..functions import like_any
 from .dedupe import keep_first
 from .filters import rows_in
 
-MAX_DISTURBED = 10_000  # partitions named in a scan filter; more are found by a join
-
 
 def upsert(
     target: DataFrame, new: DataFrame, keys: list[str], update_cols: list[str], order: list[Column] | None = None
@@ -70,17 +68,18 @@ def merge_partitions(spark: SparkSession, path: str, new: DataFrame, part_col: s
     """The same on a table written below ``path`` by partition, rewriting no more than it must.
 
     Partitions of the new rows are replaced without being read. Only where a new key sits in another
-    partition is that partition read and rewritten; the search for such keys reads the key columns alone.
+    partition is that partition rewritten, and the one of NULL if new rows are in it; the search for such
+    keys reads the key columns alone.
     """
     target = spark.read.parquet(path)
+    known = new.select(*keys).distinct()
     elsewhere = rows_in(target.select(part_col, *keys), new, part_col, anti=True)
-    moved = elsewhere.join(new.select(*keys).distinct(), keys, "left_semi").select(part_col).distinct()
-    disturbed = [row[0] for row in moved.limit(MAX_DISTURBED + 1).collect()]
-    if len(disturbed) > MAX_DISTURBED:
-        others = rows_in(target, moved, part_col)
-    else:
-        others = target.where(F.col(part_col).isin(disturbed))  # prunes the scan to these partitions
-    others = others.join(new.select(*keys).distinct(), keys, "left_anti").select(*target.columns)
+    moved = elsewhere.join(known, keys, "left_semi").select(part_col)
+    # no value equals NULL, so rows without one are kept as in any other partition; but their folder is replaced whole
+    without = new.where(F.col(part_col).isNull()).select(part_col)
+    disturbed = moved.unionByName(without).distinct().withColumnRenamed(part_col, "_part")
+    others = target.join(disturbed, F.col(part_col).eqNullSafe(F.col("_part")), "left_semi")
+    others = others.join(known, keys, "left_anti").select(*target.columns)
     write_partitions(new.select(*target.columns).unionByName(others), path, part_col)
 
 

@@ -17,6 +17,7 @@ from .rules import (
     _below_zero,
     breaks_any,
     controlled_vocabulary,
+    key_scope,
     error_log,
     log_rows,
     missing_optional,
@@ -61,8 +62,8 @@ def payment_rules() -> list[Rule]:
 
 def duplicate_event(df: DataFrame, key: str, message: str) -> DataFrame:
     """Findings for the second and later records of a key; records without a key never repeat."""
-    keyed = df.select(record_key(key).alias("record_key"), "row_number", "file_path")
-    again = repeats(keyed, "record_key", "row_number", ("file_path",))
+    keyed = df.select(record_key(key).alias("record_key"), key_scope(key).alias("_scope"), "row_number", "file_path")
+    again = repeats(keyed, ["record_key", "_scope"], ["file_path", "row_number"])
     return again.select(
         "row_number",
         "record_key",
@@ -91,7 +92,7 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 def _lookup(child: DataFrame, parent: DataFrame, key: str, how: str) -> DataFrame:
     known = parent.select(_token(key).alias("_parent")).distinct()
-    return key_lookup(child.withColumn("_parent", _token(key)), known, "_parent", how, ["row_number"]).drop("_parent")
+    return key_lookup(child.withColumn("_parent", _token(key)), known, "_parent", how).drop("_parent")
 
 
 def _token(key: str) -> Column:
@@ -175,7 +176,7 @@ class Validated:
             F.to_json(F.struct(*profile)).alias("quality_profile"),
         )
         keys = self.source.agg(
-            (F.count(F.lit(1)) - F.count_distinct(record_key(self.key))).alias("repeats")
+            (F.count(F.lit(1)) - F.count_distinct(F.struct(record_key(self.key), key_scope(self.key)))).alias("repeats")
         )
         counts = counts.withColumn("repeats", keys.scalar())
         lost = F.lit(0)

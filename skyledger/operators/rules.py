@@ -120,6 +120,12 @@ def record_key(col: str, row_number: str = "row_number") -> Column:
     return F.coalesce(token, F.concat(F.lit("row-"), F.col(row_number).cast("string")))
 
 
+def key_scope(col: str) -> Column:
+    """Where a record key tells records apart: everywhere, or in its file if it is the number of a record."""
+    named = F.nullif(token_trim_first(col), F.lit("")).isNotNull()
+    return F.when(named, F.lit("")).otherwise(F.coalesce("file_path", F.lit("")))
+
+
 def breaks_any(rules: list[Rule], severity: str | None = None) -> Column:
     test = F.lit(False)
     for rule in rules:
@@ -166,7 +172,7 @@ def error_log(df: DataFrame, rules: list[Rule], key: str, source_name: str, file
 def log_rows(findings: DataFrame, source_name: str) -> DataFrame:
     """Give findings their source and stable id."""
     named = findings.withColumn("source_name", F.lit(source_name))
-    error_id = md5_id("source_name", "row_number", "rule_name", "record_key", "bad_value")
+    error_id = md5_id("source_name", "file_path", "row_number", "rule_name", "record_key", "bad_value")
     if "place" not in findings.columns:
         named = named.withColumn("place", F.lit(SET_RULE))
     return named.withColumn("error_id", error_id).select(*LOG_COLUMNS)

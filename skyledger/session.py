@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_base: list[str] = []
-
 
 def local_session(cpus: int | str = "*", **conf) -> SparkSession:
     """A local session for tests and benchmarks; on a cluster use the one it gives you."""
@@ -28,13 +25,11 @@ def local_session(cpus: int | str = "*", **conf) -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared one that ``spark.checkpoint.dir`` names.
 
-    Only a local master may do without the setting; its one machine then holds the folder.
+    Only a local master may do without the setting; the folder is then below the session's warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        if not _local_base:
-            _local_base.append(tempfile.mkdtemp(prefix="skyledger-"))
-        base = _local_base[0]
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -1,6 +1,7 @@
 """Landing events once, dead letters, counts, and the stream that drives them.
 
-Layout below a root folder: ``<table>/batch_id=<n>/bucket=<b>``. A micro-batch writes only its own
+Layout below a root folder: ``<table>/stream=<id>/batch_id=<n>/bucket=<b>``. The stream's id is kept with its
+checkpoint, so a new checkpoint or a second consumer starts folders of its own. A micro-batch writes only its own
 ``batch_id`` folders, so a batch that is replayed after a failure overwrites what it wrote before.
 """
 
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions import md5_id
 from ..operators.dedupe import keep_first
-from ..operators.filters import if_small
 from .envelope import STREAM_TABLES, st_validate_envelope
 
 BUCKETS = 16  # fixed for the life of a landing folder
@@ -27,14 +27,14 @@ EVENT_COLUMNS = [
 EVENT_SCHEMA = (
     "event_id string, event_type string, event_time timestamp, source_system string, schema_version int, "
     "entity_key string, kafka_topic string, kafka_partition int, kafka_offset bigint, payload string, "
-    "ingested_at timestamp, batch_id bigint, bucket int"
+    "ingested_at timestamp, stream string, batch_id bigint, bucket int"
 )
 DLQ_SCHEMA = (
     "dlq_id string, consumer_group string, kafka_topic string, kafka_partition int, kafka_offset bigint, "
     "event_id string, entity_key string, error_type string, error_message string, raw_message string, "
-    "created_at timestamp, batch_id bigint"
+    "created_at timestamp, stream string, batch_id bigint"
 )
-COUNTS_SCHEMA = "seen bigint, inserted bigint, duplicates bigint, dlq bigint, batch_id bigint"
+COUNTS_SCHEMA = "seen bigint, inserted bigint, duplicates bigint, dlq bigint, stream string, batch_id bigint"
 
 
 def bucket_of(event_id: str = "event_id"):
@@ -55,15 +55,9 @@ def first_deliveries(events: DataFrame) -> DataFrame:
 def not_landed(events: DataFrame, landed: DataFrame) -> DataFrame:
     """First deliveries of events the table does not hold; only its event ids are read.
 
-    The ids of a small batch are broadcast to the table, which then is not shuffled.
+    Ids are compared within their buckets, so those of buckets that the batch does not touch can be left unread.
     """
-    once = first_deliveries(events)
-    ids = events.select("event_id")
-    few = if_small(ids)
-    held = landed.select("event_id")
-    if few is not None:
-        held = held.join(few, "event_id", "left_semi")
-    return once.join(held, "event_id", "left_anti")
+    return first_deliveries(events).join(landed.select("bucket", "event_id"), ["bucket", "event_id"], "left_anti")
 
 
 def dead_letters(events: DataFrame, consumer_group: str = CONSUMER_GROUP) -> DataFrame:
@@ -107,41 +101,45 @@ def read_landed(spark: SparkSession, root: str, table: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def st_idempotent_land(batch: DataFrame, batch_id: int, root: str) -> None:
+def _folder(root: str, table: str, stream: str, batch_id: int) -> str:
+    return f"{root}/{table}/stream={stream}/batch_id={batch_id}"
+
+
+def _own(stream: str, batch_id: int):
+    return (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
+
+
+def st_idempotent_land(batch: DataFrame, batch_id: int, root: str, stream: str = "none") -> None:
     """Land each valid event of a validated batch once over the life of its table.
 
-    Only the event ids in the buckets the batch touches are read back. This batch's own folder is left
-    out of the comparison, so a replay lands the same rows again in the same place.
+    This batch's own folder is left out of the comparison, so a replay lands the same rows again in the same place;
+    what other streams have landed below the same root counts.
     """
     spark = batch.sparkSession
     for topic, table in STREAM_TABLES.items():
         events = st_route_topic(batch, topic).withColumn("bucket", bucket_of())
-        touched = [row.bucket for row in events.select("bucket").distinct().collect()]  # at most BUCKETS numbers
-        if not touched:
+        if events.isEmpty():
             continue
-        earlier = read_landed(spark, root, table).where(
-            (F.col("batch_id") != batch_id) & F.col("bucket").isin(touched)
-        )
         (
-            not_landed(events, earlier)
+            not_landed(events, read_landed(spark, root, table).where(~_own(stream, batch_id)))
             .withColumn("ingested_at", F.current_timestamp())
             .hint("rebalance", "bucket")
             .write.mode("overwrite")
             .partitionBy("bucket")
-            .parquet(f"{root}/{table}/batch_id={batch_id}")
+            .parquet(_folder(root, table, stream, batch_id))
         )
 
 
-def st_dead_letter(batch: DataFrame, batch_id: int, root: str) -> None:
+def st_dead_letter(batch: DataFrame, batch_id: int, root: str, stream: str = "none") -> None:
     """Store the invalid events of a validated batch."""
     letters = dead_letters(batch).withColumn("created_at", F.current_timestamp())
-    letters.write.mode("overwrite").parquet(f"{root}/{DLQ_TABLE}/batch_id={batch_id}")
+    letters.write.mode("overwrite").parquet(_folder(root, DLQ_TABLE, stream, batch_id))
 
 
-def st_run_counts(batch: DataFrame, batch_id: int, root: str) -> DataFrame:
+def st_run_counts(batch: DataFrame, batch_id: int, root: str, stream: str = "none") -> DataFrame:
     """Counts of a batch, from what its tables hold."""
     spark = batch.sparkSession
-    mine = F.col("batch_id") == batch_id
+    mine = _own(stream, batch_id)
     landed = None
     for table in STREAM_TABLES.values():
         rows = read_landed(spark, root, table).where(mine).select("event_id")
@@ -149,26 +147,26 @@ def st_run_counts(batch: DataFrame, batch_id: int, root: str) -> DataFrame:
     return run_counts(batch, landed, read_landed(spark, root, DLQ_TABLE).where(mine))
 
 
-def land_batch(messages: DataFrame, batch_id: int, root: str) -> None:
+def land_batch(messages: DataFrame, batch_id: int, root: str, stream: str = "none") -> None:
     """Validate a micro-batch once and write its events, dead letters and counts."""
     events = st_validate_envelope(messages).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        st_idempotent_land(events, batch_id, root)
-        st_dead_letter(events, batch_id, root)
-        counts = st_run_counts(events, batch_id, root)
-        counts.write.mode("overwrite").parquet(f"{root}/{COUNTS_TABLE}/batch_id={batch_id}")
+        st_idempotent_land(events, batch_id, root, stream)
+        st_dead_letter(events, batch_id, root, stream)
+        counts = st_run_counts(events, batch_id, root, stream)
+        counts.write.mode("overwrite").parquet(_folder(root, COUNTS_TABLE, stream, batch_id))
     finally:
         events.unpersist()
 
 
 def st_commit_batches(stream: DataFrame, checkpoint: str, root: str) -> None:
     """Land everything that is there now; the checkpoint commits offsets after each batch's data."""
-    query = (
-        stream.writeStream.foreachBatch(lambda df, batch_id: land_batch(df, batch_id, root))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def land(df: DataFrame, batch_id: int) -> None:
+        # Spark keeps a query's id in its checkpoint: the same after a restart, another for a new checkpoint
+        land_batch(df, batch_id, root, df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
+
+    query = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 

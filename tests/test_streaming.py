@@ -91,6 +91,18 @@ def test_stream_restarts_from_its_checkpoint(spark, messages, tmp_path):
     assert counts(spark, root) == (4, 3, 1, 0)
 
 
+def test_a_new_checkpoint_keeps_what_was_landed(spark, messages, tmp_path):
+    root = str(tmp_path / "out")
+    waves = ([message(1), message(2), message(3, raw="{bad")], [message(4), message(5, event_id="e1"), message(6, raw="{bad")])
+    for n, wave in enumerate(waves):
+        inbox = str(tmp_path / f"in{n}")
+        messages(wave).coalesce(1).write.parquet(inbox)
+        landing.st_commit_batches(read_messages(spark, inbox), f"{root}/cp{n}", root)
+    assert landed(spark, root) == [("e1", 1), ("e2", 2), ("e4", 4)]
+    assert landing.read_landed(spark, root, landing.DLQ_TABLE).count() == 2
+    assert counts(spark, root) == (6, 3, 1, 2)
+
+
 def test_watermark_dedupe(spark, messages, tmp_path):
     inbox = str(tmp_path / "in")
     messages([message(1), message(2, event_id="e1"), message(3)]).write.parquet(inbox)
