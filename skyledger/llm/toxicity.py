@@ -5,7 +5,7 @@ evidence: a token is toxic in a toxic document if it, or a start of it, is found
 often than chance. The field has two states, weights for features of the token (the word, its starts and ends, its
 shape) and for transitions, and is fitted by maximum likelihood with exact forward-backward gradients on the driver, on
 at most ``sample_rows`` labelled rows of each class, chosen by a hash; that is the only part that does not see all rows.
-Scoring goes over whole texts: forward-backward gives each token's marginal, the marginals give two sums per document,
+Scoring goes over whole texts: forward-backward gives each token's marginal, the marginals give three sums per document,
 and a logistic curve fitted on the same sample turns them into a score. Spans join neighbouring tokens whose marginal is
 at least one half, as code point offsets.
 
@@ -16,7 +16,6 @@ classes nothing is learned: scores are the share of toxic labels, or 0.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,7 +27,9 @@ from .common import documents, slices, text_sizes
 
 #: Labelled rows of each class that the model is fitted on, at most.
 SAMPLE_ROWS = 1_500
-FEATURES = 1 << 18
+ROUNDS = 20
+#: A token labels toxic documents if it is in so many of them, and in a share of them so many times the share of the others.
+LEAST, RATIO = 4, 16.0
 STARTS, ENDS = (3, 4, 5, 6), (3, 4)
 _EDGE = ".,;:!?\"'()[]{}<>|*_-"
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
@@ -57,7 +58,10 @@ class Model:
     weights: dict[str, float] = field(default_factory=dict)
     bias: float = -8.0
     transition: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
-    curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    curve: tuple[float, ...] = (0.0, 0.0, 0.0, 0.0)
+
+    def score(self, evidence: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.curve[0] + evidence @ np.array(self.curve[1:]), -30, 30)))
 
     def emission(self, token: str) -> float:
         return self.bias + sum(self.weights.get(f, 0.0) for f in features(token))
@@ -126,85 +130,110 @@ def marginals(emissions: np.ndarray, lengths: np.ndarray, transition: np.ndarray
     return (out, expected) if pairs else out
 
 
-def token_labels(docs: list[list[str]], toxic: np.ndarray, least: int = 4, ratio: float = 4.0) -> list[np.ndarray]:
+@dataclass
+class Corpus:
+    """The tokens of some documents as numbers of distinct words, and the features of these words.
+
+    Word ``i`` has feature ``cols[j]`` for every ``j`` with ``rows[j] == i``; the rows are in order.
+    """
+
+    flat: np.ndarray
+    lengths: np.ndarray
+    names: list[str]
+    rows: np.ndarray
+    cols: np.ndarray
+    n_words: int
+
+    @classmethod
+    def of(cls, docs: list[list[str]]) -> Corpus:
+        lengths = np.array([len(d) for d in docs], np.int64)
+        ids: dict[str, int] = {}
+        flat = np.fromiter((ids.setdefault(w, len(ids)) for d in docs for w in d), np.int64, int(lengths.sum()))
+        names: dict[str, int] = {}
+        found = [[names.setdefault(f, len(names)) for f in features(w)] for w in ids]
+        rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        cols = np.fromiter((c for f in found for c in f), np.int64, len(rows))
+        return cls(flat, lengths, list(names), rows, cols, len(ids))
+
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.lengths)), self.lengths)
+
+
+def token_labels(corpus: Corpus, toxic: np.ndarray, least: int = LEAST, ratio: float = RATIO) -> np.ndarray:
     """Label the tokens of toxic documents whose word or start is found mostly in toxic ones."""
-    seen = (Counter(), Counter())
-    for tokens, y in zip(docs, toxic, strict=True):
-        seen[y].update({f for w in set(tokens) for f in features(w) if f[0] in "wp"})
-    n = np.maximum(np.bincount(toxic, minlength=2), 1)
-    strong = {f for f, k in seen[1].items() if k >= least and k / n[1] > ratio * 4 * (seen[0][f] + 0.5) / n[0]}
-    verdict: dict[str, bool] = {}
-    out = []
-    for tokens, y in zip(docs, toxic, strict=True):
-        for w in set(tokens) - verdict.keys():
-            verdict[w] = any(f in strong for f in features(w) if f[0] in "wp")
-        out.append(np.array([verdict[w] for w in tokens], bool) & bool(y))
-    return out
-
-
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 16) -> Model:
+    owner, n = corpus.owner(), np.maximum(np.bincount(toxic, minlength=2), 1)
+    listed = np.array([f[0] in "wp" for f in corpus.names], bool)
+    rows, cols = corpus.rows[listed[corpus.cols]], corpus.cols[listed[corpus.cols]]
+    # each pair of document and word once, then each pair of document and feature once
+    pair = np.unique(owner * corpus.n_words + corpus.flat)
+    doc, word = np.divmod(pair, max(corpus.n_words, 1))
+    begin = np.searchsorted(rows, np.arange(corpus.n_words + 1))
+    size = np.diff(begin)[word]
+    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[word], size)
+    pair = np.unique(np.repeat(doc, size) * len(listed) + cols[at])
+    doc, feature = np.divmod(pair, max(len(listed), 1))
+    bad = toxic[doc] == 1
+    seen = [np.bincount(feature[x], minlength=len(listed)) for x in (~bad, bad)]
+    strong = listed & (seen[1] >= least) & (seen[1] / n[1] > ratio * (seen[0] + 0.5) / n[0])
+    verdict = np.bincount(rows, strong[cols], corpus.n_words) > 0
+    return verdict[corpus.flat] & (toxic[owner] == 1)
+
+
+def fit(texts: list[str], toxic: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Maximum likelihood with a quadratic penalty; steps are scaled by what each weight has moved so far."""
     model = Model()
     if not len(toxic) or toxic.min() == toxic.max():
         share = float(toxic.mean()) if len(toxic) else 0.0
-        model.curve = (float(np.log((share + 1e-6) / (1 - share + 1e-6))), 0.0, 0.0)
+        model.curve = (float(np.log((share + 1e-6) / (1 - share + 1e-6))), 0.0, 0.0, 0.0)
         return model
-    docs = [words(t) for t in texts]
-    truth = token_labels(docs, toxic)
-    lengths = np.array([len(d) for d in docs])
-    # chains see each distinct token once: its features are rows of a sparse table in coordinates
-    ids: dict[str, int] = {}
-    flat = np.fromiter((ids.setdefault(w, len(ids)) for d in docs for w in d), np.int64, int(lengths.sum()))
-    names: dict[str, int] = {}
-    rows, cols = [], []
-    for w, i in ids.items():
-        for f in features(w):
-            rows.append(i)
-            cols.append(names.setdefault(f, len(names)))
-    rows, cols = np.array(rows), np.array(cols)
-    y = np.concatenate(truth).astype(float) if len(flat) else np.zeros(0)
+    corpus = Corpus.of([words(t) for t in texts])
+    flat, lengths, rows, cols = corpus.flat, corpus.lengths, corpus.rows, corpus.cols
+    y = token_labels(corpus, toxic).astype(float)
     first = np.cumsum(lengths) - lengths
     follows = np.ones(len(flat), bool)
     follows[first[lengths > 0]] = False
     at = np.flatnonzero(follows)
     seen_pairs = np.zeros((2, 2))
     np.add.at(seen_pairs, (y[at - 1].astype(int), y[at].astype(int)), 1)
-    wanted = np.bincount(flat, y, len(ids))
-    w, moved, trans, trans_moved = np.zeros(len(names) + 1), np.full(len(names) + 1, 1e-3), np.zeros((2, 2)), np.full((2, 2), 1e-3)
+    wanted = np.bincount(flat, y, corpus.n_words)
+    w, moved, trans, trans_moved = np.zeros(len(corpus.names) + 1), np.full(len(corpus.names) + 1, 1e-3), np.zeros((2, 2)), np.full((2, 2), 1e-3)
     w[-1] = -4.0
-    for k in range(rounds):
-        emission = np.bincount(rows, w[cols], len(ids)) + w[-1]
+    for _ in range(rounds):
+        emission = np.bincount(rows, w[cols], corpus.n_words) + w[-1]
         p, expected = marginals(emission[flat], lengths, trans, pairs=True)
-        off = wanted - np.bincount(flat, p, len(ids))
-        slope = np.append(np.bincount(cols, off[rows], len(names)), off.sum()) / 50 - 0.02 * w
+        off = wanted - np.bincount(flat, p, corpus.n_words)
+        slope = np.append(np.bincount(cols, off[rows], len(corpus.names)), off.sum()) / 50 - 0.02 * w
         moved += slope**2
         w += 1.0 * slope / np.sqrt(moved)
         turn = (seen_pairs - expected) / 50 - 0.02 * trans
         trans_moved += turn**2
         trans += 0.3 * turn / np.sqrt(trans_moved)
     model.bias, model.transition = float(w[-1]), trans
-    model.weights = {f: float(w[i]) for f, i in names.items() if abs(w[i]) > 1e-2}
-    emission = np.bincount(rows, w[cols], len(ids)) + w[-1]
+    model.weights = {f: float(x) for f, x in zip(corpus.names, w, strict=False) if abs(x) > 1e-2}
+    emission = np.bincount(rows, w[cols], corpus.n_words) + w[-1]
     model.curve = _curve(evidence(marginals(emission[flat], lengths, trans), lengths), toxic)
     return model
 
 
 def evidence(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Per document: the largest marginal, and the logarithm of their sum."""
-    top, total = np.zeros(len(lengths)), np.zeros(len(lengths))
+    """Per document: the largest marginal, the logarithm of their sum, and that of their share of the tokens.
+
+    The share tells a long text that meets a listed start by chance from a text that has been made toxic.
+    """
+    top = np.zeros(len(lengths))
     owner = np.repeat(np.arange(len(lengths)), lengths)
     np.maximum.at(top, owner, p)
     total = np.bincount(owner, p, len(lengths))
-    return np.stack([top, np.log1p(total)], axis=1)
+    return np.stack([top, np.log1p(total), np.log1p(1_000 * total / np.maximum(lengths, 1))], axis=1)
 
 
-def _curve(x: np.ndarray, toxic: np.ndarray, rounds: int = 30) -> tuple[float, float, float]:
+def _curve(x: np.ndarray, toxic: np.ndarray, rounds: int = 30) -> tuple[float, ...]:
     """Logistic regression by Newton's steps."""
     x = np.hstack([np.ones((len(x), 1)), x])
-    w = np.zeros(3)
+    w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = x.T @ (x * (p * (1 - p))[:, None]) + 0.05 * np.eye(3)
+        h = x.T @ (x * (p * (1 - p))[:, None]) + 0.05 * np.eye(len(w))
         w += np.linalg.solve(h, x.T @ (toxic - p) - 0.05 * w)
     return tuple(float(v) for v in w)
 
@@ -252,9 +281,7 @@ class Scorer:
         lengths = np.array([len(f) for f in found], np.int64)
         emission = np.fromiter((e for f in found for e in map(self.emissions.__getitem__, f)), float, int(lengths.sum()))
         p = marginals(emission, lengths, self.model.transition)
-        x = evidence(p, lengths)
-        a, b, c = self.model.curve
-        scores = 1 / (1 + np.exp(-np.clip(a + b * x[:, 0] + c * x[:, 1], -30, 30)))
+        scores = self.model.score(evidence(p, lengths))
         spans = [""] * len(texts)
         if with_spans:
             ends = np.cumsum(lengths)
