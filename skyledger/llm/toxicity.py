@@ -255,7 +255,7 @@ def held_out(column: str):
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    rows = {(r.doc_id, r.text): r.toxic for r in training_rows(docs, labels, sample_rows).toLocalIterator()}
+    rows = {(r.doc_id, r.text): r.toxic for r in training_rows(docs, labels, sample_rows).collect()}
     kept = sorted(rows.items(), key=lambda r: r[0])
     return fit([t for (_, t), _ in kept], np.array([y for _, y in kept], np.int64))
 
