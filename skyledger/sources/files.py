@@ -142,8 +142,10 @@ def latest_file(spark: SparkSession, folder: str, glob: str = "*.csv") -> str |
 
 
 def _header(line: Column) -> Column:
+    """Names in a header line; a quoted one may hold commas and doubled quotes."""
     line = F.regexp_replace(line, "^\\x{FEFF}|\\r$", "")
-    return F.transform(F.split(line, ","), lambda c: F.btrim(c, F.lit('"')))
+    fields = F.regexp_extract_all(line, F.lit(r'("[^"]*+(?:""[^"]*+)*+"|[^,]*+)(?:,|$)'), F.lit(1))
+    return F.transform(fields, lambda c: F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"')))
 
 
 def profile_files(
@@ -156,8 +158,8 @@ def profile_files(
     """Size, checksum, record count, missing required columns and status of each file.
 
     The checksum is the MD5 of the content. A file above ``md5_limit`` never becomes one row: its
-    checksum is taken over its length and an order-free sum of line hashes, and its header from its
-    first block only.
+    checksum is taken over its length and the sum of the hashes of its numbered lines, so it changes
+    with their order too. The header is the whole first line, whatever its length.
     """
     files = list_files(spark, path)
     content = (
@@ -166,41 +168,26 @@ def profile_files(
         .option("recursiveFileLookup", True)
         .load(path)
         .where(F.col("length") <= md5_limit)
-        .select(
-            _plain_path("path").alias("path"),
-            F.md5("content").alias("md5"),
-            _header(F.substring_index(F.decode(F.substring("content", 1, 65536), "UTF-8"), "\n", 1)).alias(
-                "header"
-            ),
-        )
+        .select(_plain_path("path").alias("path"), F.md5("content").alias("md5"))
     )
-    lines = (
+    lines = with_row_number(
         spark.read.option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
         .text(path)
-        .select(
-            "value",
-            _plain_path("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_size").alias("_size"),
-            F.col("_metadata.file_block_start").alias("_block"),
-        )
+        .select("value", _plain_path("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("_size")),
+        "line",
     )
+    line_hash = F.xxhash64("line", "value").cast("decimal(20,0)")
     counts = lines.groupBy("path").agg(
         F.greatest(F.count_if(F.trim("value") != "") - 1, F.lit(0)).alias("row_count"),
-        F.sum(F.when(F.col("_size") > md5_limit, F.xxhash64("value").cast("decimal(20,0)"))).alias("line_hash"),
-    )
-    first_lines = (
-        lines.where((F.col("_size") > md5_limit) & (F.col("_block") == 0))
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .groupBy("path")
-        .agg(_header(F.min_by("value", "_pos")).alias("big_header"))
+        F.sum(F.when(F.col("_size") > md5_limit, line_hash)).alias("line_hash"),
+        F.max(F.when(F.col("line") == 2, F.col("value"))).alias("header_line"),  # lines are numbered from 2 on
     )
     wanted = F.array(*[F.lit(name) for name in sorted(required)])
-    header = F.coalesce("header", "big_header", F.array().cast("array<string>"))
+    header = F.coalesce(_header(F.col("header_line")), F.array().cast("array<string>"))
     return (
         files.join(content, "path", "left")
         .join(counts, "path", "left")
-        .join(first_lines, "path", "left")
         .select(
             F.lit(source_name).alias("source_name"),
             F.col("path").alias("file_path"),

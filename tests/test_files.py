@@ -59,6 +59,21 @@ def test_large_file_checksum_ignores_nothing(spark, tmp_path):
     assert profile().checksum_md5 != first.checksum_md5
 
 
+def test_large_file_checksum_sees_the_order_of_lines(spark, tmp_path):
+    def profile(numbers):
+        (tmp_path / "big.csv").write_text("ident,name\n" + "".join(f"{i},n\n" for i in numbers))
+        return files.profile_files(spark, str(tmp_path), ["ident"], "airports", md5_limit=10).first()
+
+    assert profile(range(10, 60)).checksum_md5 != profile(range(59, 9, -1)).checksum_md5
+
+
+def test_header_of_any_length_with_quoted_commas(spark, tmp_path):
+    names = [f"c{i}" for i in range(20_000)]
+    (tmp_path / "wide.csv").write_text(",".join(names) + ',"a, ""b""",last\n1\n')
+    got = files.profile_files(spark, str(tmp_path), ["last", 'a, "b"', "c7", "absent"], "airports").first()
+    assert got.missing_columns == ["absent"]
+
+
 def test_latest_file_and_projection(spark, rows, tmp_path):
     assert files.latest_file(spark, str(tmp_path)) is None
     for name in ("b_2026_03.csv", "b_2026_04.csv"):
