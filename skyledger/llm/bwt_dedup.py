@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MAX_LONG, SECOND, U64, Rolling, keyed, mix, saved, slices, text_sizes
+from .common import MAX_LONG, SECOND, U64, Rolling, forget, keyed, mix, saved, slices, text_sizes
 
 LENGTH = 400
 GRAM, ROUNDS = 16, 2
@@ -94,7 +94,7 @@ class Shard:
 
 
 def suffixes(rows: DataFrame, length: int, rounds: int = ROUNDS) -> DataFrame:
-    """Sampled suffixes (doc_key, text_key, first, last, anchor, k0.., whole): one row for each run of windows."""
+    """Sampled suffixes (doc_key, text_key, first, last, k0.., whole): one row for each run of windows."""
     names = [f"k{i}" for i in range(rounds)]
 
     def build(batches):
@@ -106,24 +106,25 @@ def suffixes(rows: DataFrame, length: int, rounds: int = ROUNDS) -> DataFrame:
             order = np.argsort(keys[-1], kind="stable")  # the shard's own order of blocks
             doc, base = shard.of[order], shard.begin[shard.of[order]]
             cols = [pa.array(part.column(c).to_numpy()[doc]) for c in KEY]
-            cols += [pa.array((x[order] - base).astype(np.int32)) for x in (shard.first, shard.last, shard.anchor)]
+            cols += [pa.array((x[order] - base).astype(np.int32)) for x in (shard.first, shard.last)]
             cols += [pa.array(x[order].view(np.int64)) for x in (*keys, shard.whole())]
-            out = pa.RecordBatch.from_arrays(cols, names=[*KEY, "first", "last", "anchor", *names, "whole"])
+            out = pa.RecordBatch.from_arrays(cols, names=[*KEY, "first", "last", *names, "whole"])
             yield from (out.slice(i, 50_000) for i in range(0, out.num_rows, 50_000))
 
-    schema = "doc_key long, text_key long, first int, last int, anchor int, " + ", ".join(f"{n} long" for n in names) + ", whole long"
+    schema = "doc_key long, text_key long, first int, last int, " + ", ".join(f"{n} long" for n in names) + ", whole long"
     return rows.select("text", *KEY).mapInArrow(build, schema)
 
 
 def refine(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Suffixes that share a block with others after all rounds."""
+    """Suffixes that share a block with others after all rounds; ``found`` is a written table and goes."""
     for k in range(rounds):
-        block = found.groupBy(f"k{k}").agg(F.count("*").alias("n")).where("n > 1").select(f"k{k}")
-        found = found.join(block, f"k{k}", "left_semi")
-        if k < rounds - 1:
-            # few are left: the next round starts from a written table, not from the texts again
-            found = saved(found.drop(f"k{k}"), "suffixes")
-    return found.withColumnRenamed(f"k{rounds - 1}", "block")
+        # written, so that both sides of the join are plain reads, which Spark splits at blocks of very many suffixes
+        block = saved(found.groupBy(f"k{k}").agg(F.count("*").alias("n")).where("n > 1").select(f"k{k}"), "blocks")
+        left = found.join(block, f"k{k}", "left_semi")
+        left = saved(left.drop(f"k{k}") if k < rounds - 1 else left.withColumnRenamed(f"k{k}", "block"), "suffixes")
+        forget(found, block)
+        found = left
+    return found
 
 
 def _window_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray, length: int):
@@ -161,7 +162,7 @@ def _compare(frame: pa.Table, length: int) -> pa.Table:
 def repeated(docs: DataFrame, length: int = LENGTH, rounds: int = ROUNDS, wide: int = WIDE) -> DataFrame:
     """Runs (doc_key, text_key, first, last) of places where a string starts that also starts elsewhere."""
     rows = keyed(docs)
-    found = saved(refine(suffixes(rows, length, rounds), rounds), "suffixes")
+    found = refine(saved(suffixes(rows, length, rounds), "suffixes"), rounds)
     classes = found.groupBy("block", "whole").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "first", "last")).alias("one"))
     blocks = classes.groupBy("block").agg(F.count("*").alias("kinds"))
     classes = saved(classes.join(blocks, "block"), "blocks")

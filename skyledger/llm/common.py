@@ -37,7 +37,17 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table below the shared folder and read it from there: lineage ends, and any executor can be lost."""
     path = f"{work_folder(df.sparkSession, purpose)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.saved_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that ``saved`` wrote, once nothing that is still to be computed reads them."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.saved_at)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def release() -> None:

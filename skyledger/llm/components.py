@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import forget, saved
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,6 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         # a node and its smaller neighbours all go under the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select("m", F.explode(F.array("a", "b")).alias("a")).select("a", F.col("m").alias("b"))
-        now = saved(small.where("a <> b").distinct(), "stars")
+        was, now = now, saved(small.where("a <> b").distinct(), "stars")
+        forget(was, large)
     top = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(top.select("node", F.col("node").alias("label")))
