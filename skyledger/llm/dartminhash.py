@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import MAX_LONG, SECOND, U64, Rolling, keyed, mix, saved, slices, text_sizes, words_of
+from .common import MAX_LONG, SECOND, U64, Rolling, forget, keyed, mix, saved, slices, text_sizes, words_of
 from .components import components
 
 WORDS, THRESHOLD = 5, 0.8
@@ -195,43 +195,55 @@ def _pivots(members: DataFrame, most: int) -> DataFrame:
     return first.select("band", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
 
 
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after the components that the links (a, b) connect are one; only labels that a link joins move."""
+    x, y = (label.select(F.col("node").alias(n), F.col("label").alias(c)) for n, c in (("a", "x"), ("b", "y")))
+    step = saved(components(links.join(x, "a").join(y, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))), "labels")
+    to = step.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    moved = saved(label.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+    forget(step, label, links)
+    return moved
+
+
 def linked(rows: DataFrame, signs: DataFrame, words: int, threshold: float, size: int, each: int) -> DataFrame:
-    """(node, label) of the multisets that have a link, labelled by component."""
+    """(node, label) of the multisets that share a bucket with others, labelled by component of their links."""
     banded = _bands(signs, size, each)
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = saved(banded.join(shared, "band"), "bands")
-    central = members.groupBy("node").agg(F.sum("n").alias("central"))
-    members = members.join(central, "node").select("band", "node", F.col("node").alias("label"), F.lit(False).alias("done"), "central")
-    members = saved(members, "bands")
-    nodes = members.select("node").distinct()
+    met = saved(banded.join(shared, "band"), "bands")
+    central = met.groupBy("node").agg(F.sum("n").alias("central"))
+    members = saved(met.join(central, "node").select("band", "node", F.lit(False).alias("done"), "central"), "bands")
+    forget(met)
+    label = saved(members.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
+    nodes = label.select("node")
     one_row = signs.join(nodes, "node", "left_semi").select("doc_key", "text_key", "node")
     bags = saved(multisets(rows.join(one_row, ["doc_key", "text_key"], "left_semi"), words).dropDuplicates(["node"]), "multisets")
     few = saved(signs.join(nodes, "node", "left_semi").select("node", "signature"), "signatures")
 
     def found(pairs: DataFrame) -> DataFrame:
         pairs = saved(pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
-        return saved(_checked(_alike(pairs, few, threshold, size), bags, threshold), "links")
-
-    def labelled(members: DataFrame, label: DataFrame) -> DataFrame:
-        to = label.withColumnRenamed("label", "to")
-        return members.join(to, "node", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
+        links = saved(_checked(_alike(pairs, few, threshold, size), bags, threshold), "links")
+        forget(pairs)
+        return links
 
     # first each node meets the most central member of all its buckets; that joins most of what belongs together
     middle = members.groupBy("band").agg(F.max(F.struct("central", "node")).alias("m"))
     middle = members.join(middle, "band").groupBy("node").agg(F.max("m").alias("m"))
-    links, most = found(middle.select("node", F.col("m.node").alias("pivot")).where("node <> pivot")), 1
+    links, most, past = found(middle.select("node", F.col("m.node").alias("pivot")).where("node <> pivot")), 1, [members]
     while True:
-        label = saved(components(links), "labels")
-        members = labelled(members, label)
+        label = _joined(label, links)
+        now = members.join(label, "node")
         # done: buckets whose members that were no pivot are in one component, so all others have met them
-        still = members.where("not done").groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
-        members = saved(members.join(still, "band", "left_semi"), "bands")
-        if members.isEmpty():
+        still = now.where("not done").groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
+        left = saved(now.join(still, "band", "left_semi"), "bands")
+        forget(*past)
+        if left.isEmpty():
+            forget(left, bags, few)
             return label
-        pivots = saved(_pivots(members, most), "pivots")
-        links = links.unionByName(found(members.join(pivots, "band").where("label <> pivot_label")))
+        pivots = saved(_pivots(left, most), "pivots")
+        links = found(left.join(pivots, "band").where("label <> pivot_label"))
         was = pivots.select("band", F.col("pivot").alias("node"), F.lit(True).alias("now"))
-        members = members.join(was, ["band", "node"], "left").withColumn("done", F.col("done") | F.coalesce("now", F.lit(False))).drop("now")
+        members = left.drop("label").join(was, ["band", "node"], "left").withColumn("done", F.col("done") | F.coalesce("now", F.lit(False))).drop("now")
+        past = [left, pivots]
         most *= 2
 
 
