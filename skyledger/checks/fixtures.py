@@ -111,6 +111,17 @@ from (
 ) y
 """
 
+COUNTRIES_SQL = """
+select r_regionkey as id, 'c'||cast(r_regionkey as string) as code, r_name as name, 'R'||cast(r_regionkey as string) as continent,
+ 'wiki/'||r_name as wikipedia_link, case when r_regionkey%2=0 then null else lower(r_name) end as keywords from region
+"""
+
+REGIONS_SQL = """
+select n_nationkey as id, 'c'||cast(n_regionkey as string)||'-'||cast(n_nationkey as string) as code, cast(n_nationkey as string) as local_code, n_name as name,
+ 'R'||cast(n_regionkey as string) as continent, 'c'||cast(n_regionkey as string) as iso_country, 'wiki/'||n_name as wikipedia_link,
+ case when n_nationkey%2=0 then null else lower(n_name) end as keywords from nation
+"""
+
 BOOKINGS_FILE = "landing/bookings/bookings.csv"
 PAYMENTS_FILE = "landing/payments/payments.csv"
 LOADED_AT = "2026-05-01 00:00:00"
@@ -139,12 +150,6 @@ def _loaded_at() -> Column:
 _stored: dict[tuple[str, str, str], str] = {}
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal rows out where the input is fewer files than there are cores; many files are parallel as they are."""
-    files_read = len(df.inputFiles())
-    return df.hint("rebalance") if files_read < df.sparkSession.sparkContext.defaultParallelism else df
-
-
 def stored(layer: str):
     """A table that is written to the work folder once per session, then read from there.
 
@@ -159,7 +164,7 @@ def stored(layer: str):
             slot = (self.spark.sparkContext.applicationId, self.sf_dir, name)
             if slot not in _stored:
                 root = work_folder(self.spark, "tables")
-                _stored[slot] = tables.write_table(_spread(build(self)), root, layer, name)
+                _stored[slot] = tables.write_table(build(self).hint("rebalance"), root, layer, name)
             return self.spark.read.parquet(_stored[slot])
 
         get.__name__, get.__doc__ = name, build.__doc__
@@ -346,6 +351,20 @@ class Tables:
             "*", _loaded_at()
         )
 
+    @cached_property
+    def raw_countries(self) -> DataFrame:
+        return self._reference("countries", self.sql(COUNTRIES_SQL, "region"), schemas.RAW_COUNTRIES)
+
+    @cached_property
+    def raw_regions(self) -> DataFrame:
+        return self._reference("regions", self.sql(REGIONS_SQL, "nation"), schemas.RAW_REGIONS)
+
+    def _reference(self, source: str, df: DataFrame, types: dict[str, str]) -> DataFrame:
+        """A raw reference table with the file that its rows came from."""
+        text = files.project_raw(df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]), {}, types)
+        file = F.lit(f"landing/{source}/{source}.csv").alias("source_file")
+        return files.typed(text, types).select("*", file, _loaded_at())
+
     @stored("raw")
     def raw_bookings(self) -> DataFrame:
         return files.typed(self.checked_bookings.valid, schemas.RAW_BOOKINGS).select("*", _loaded_at())

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import audit, incremental
 from ..session import work_folder
-from .fixtures import RUN_ID, Tables
+from .fixtures import COUNTRIES_SQL, REGIONS_SQL, RUN_ID, Tables
 from .registry import register
 
 
@@ -135,6 +136,62 @@ def _(t: Tables):
     return audit.reconcile(t.report, t.raw_counts, RUN_ID)
 
 
+@register(
+    "ld_load_files",
+    """select 'landing/bookings/part-'||(k%4)||'.csv' as file_path, count(*) as expected_raw_rows,
+ count(*) filter (where k%4<>0 or dup=0) as actual_raw_rows,
+ case when count(*)=count(*) filter (where k%4<>0 or dup=0) then 'PASSED' else 'FAILED' end as status from bookings group by 1""",
+)
+def _(t: Tables):
+    """Four files into one raw table: part 0 counts as held and is skipped, 1 and 3 are reloaded, 2 is new.
+
+    Part 0 is held without its replays, so where it has any, its counts differ.
+    """
+    part = F.concat(F.lit("landing/bookings/part-"), F.col("k") % 4, F.lit(".csv"))
+    rows = t.bookings.withColumn("file_path", part)
+    old = rows.where("dup = 0 and k % 4 <> 2")
+    none = t.spark.createDataFrame([], schemas.LOAD_AUDIT)
+    zero = "part-0.csv"
+    known = _profiles(rows).where(F.col("file_path").endswith(zero)).unionByName(
+        _profiles(old).where(~F.col("file_path").endswith(zero))
+    )
+    times = [F.lit(f"2026-05-0{day} 00:00:00").cast("timestamp") for day in (1, 2)]
+    history = audit.audit_rows("run-1", audit.load_outcomes(known, none), none, times[0])
+    delivered = _profiles(rows)
+    raw, _ = audit.load(rows, delivered, old, history, RUN_ID, times[1])
+    counts = audit.file_counts(raw, "bookings", "raw.raw_bookings")
+    found = audit.reconcile(delivered.drop("target_table"), counts, RUN_ID, by=("source_name", "file_path"))
+    return found.select("file_path", "expected_raw_rows", "actual_raw_rows", "status")
+
+
+def _profiles(rows):
+    number = F.concat_ws("|", F.count(F.lit(1)), F.sum("row_number"))
+    one = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("row_count"), F.md5(number).alias("checksum_md5"))
+    return one.select(
+        F.lit("bookings").alias("source_name"), F.lit("raw.raw_bookings").alias("target_table"), "file_path",
+        "checksum_md5", "row_count", F.col("row_count").alias("source_rows"), F.col("row_count").alias("valid_rows"),
+        F.lit(0).cast("bigint").alias("quarantined_rows"),
+    )
+
+
+@register(
+    "raw_countries",
+    "select *, 'landing/countries/countries.csv' as source_file from countries",
+    countries=COUNTRIES_SQL,
+)
+def _(t: Tables):
+    return t.raw_countries.drop("loaded_at")
+
+
+@register(
+    "raw_regions",
+    "select *, 'landing/regions/regions.csv' as source_file from regions",
+    regions=REGIONS_SQL,
+)
+def _(t: Tables):
+    return t.raw_regions.drop("loaded_at")
+
+
 _INC = {
     "inc_old": "select k, 1+k%30 as day, ticket_price as price from bookings where dup=0",
     "inc_new": "select k, 1+(k+1)%30 as day, ticket_price as price from bookings where dup=1",

@@ -134,17 +134,41 @@ def persist_quarantine(rows: DataFrame, run_id: str, source_name: str, target: D
     return insert_missing(target, out, ["quarantine_id"])
 
 
-def reconcile(report: DataFrame, raw_counts: DataFrame, run_id: str) -> DataFrame:
-    """Expected against actual raw rows per source.
+def load(
+    rows: DataFrame, profiles: DataFrame, target: DataFrame, history: DataFrame, run_id: str, at: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """One raw table and the audit after a load of delivered files.
 
-    ``raw_counts`` has ``source_name, target_table, actual_raw_rows``; a source without any is zero.
+    What the target already holds is skipped. The rows of every other file take the place of those
+    that the target has of the same ``file_path``, also when none are left.
+    """
+    outcomes = load_outcomes(profiles, history)
+    changed = outcomes.where(F.col("load_status") == LOADED).select("file_path")
+    kept = target.join(changed, "file_path", "left_anti").select(*target.columns)
+    new = rows.join(changed, "file_path", "left_semi").select(*target.columns)
+    return kept.unionByName(new), audit_rows(run_id, outcomes, history, at)
+
+
+def file_counts(raw: DataFrame, source_name: str, target_table: str) -> DataFrame:
+    """Rows that a raw table holds of each source file."""
+    return raw.groupBy("file_path").agg(F.count(F.lit(1)).alias("actual_raw_rows")).select(
+        F.lit(source_name).alias("source_name"), F.lit(target_table).alias("target_table"), "file_path", "actual_raw_rows"
+    )
+
+
+def reconcile(
+    report: DataFrame, raw_counts: DataFrame, run_id: str, by: tuple[str, ...] = ("source_name",)
+) -> DataFrame:
+    """Expected against actual raw rows per source, or per file with ``by=("source_name", "file_path")``.
+
+    ``raw_counts`` has the columns of ``by`` and ``target_table, actual_raw_rows``; a source without any is zero.
     """
     difference = F.col("actual_raw_rows") - F.col("expected_raw_rows")
     return (
-        report.join(raw_counts, ["source_name"], "left")
+        report.join(raw_counts, list(by), "left")
         .select(
             F.lit(run_id).alias("run_id"),
-            "source_name",
+            *by,
             F.col("row_count").alias("source_file_rows"),
             "quarantined_rows",
             F.coalesce("valid_rows", "row_count").alias("expected_raw_rows"),
@@ -153,7 +177,7 @@ def reconcile(report: DataFrame, raw_counts: DataFrame, run_id: str) -> DataFram
         )
         .withColumn("difference", difference)
         .withColumn("status", F.when(F.col("difference") == 0, "PASSED").otherwise("FAILED"))
-        .withColumn("reconciliation_id", md5_id("run_id", "source_name", "target_table"))
+        .withColumn("reconciliation_id", md5_id("run_id", *by, "target_table"))
     )
 
 

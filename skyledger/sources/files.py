@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from ..functions import now, strip, try_date
 from ..schemas import text_schema
 
-MD5_LIMIT = 256 * 1024 * 1024  # above this a file is not read into one row
 BLOCK_TABLE_LIMIT = 200_000  # blocks whose offsets may be broadcast: about 40 MB
 
 
@@ -148,51 +147,35 @@ def _header(line: Column) -> Column:
     return F.transform(fields, lambda c: F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"')))
 
 
-def profile_files(
-    spark: SparkSession,
-    path: str | list[str],
-    required: list[str],
-    source_name: str,
-    md5_limit: int = MD5_LIMIT,
-) -> DataFrame:
+def profile_files(spark: SparkSession, path: str | list[str], required: list[str], source_name: str) -> DataFrame:
     """Size, checksum, record count, missing required columns and status of each file.
 
-    The checksum is the MD5 of the content. A file above ``md5_limit`` never becomes one row: its
-    checksum is taken over its length and the sum of the hashes of its numbered lines, so it changes
-    with their order too. The header is the whole first line, whatever its length.
+    The checksum is one of the content, the same for files of every size: the MD5 of the length and
+    the sum of the hashes of the numbered lines, so it changes with their order too and no file
+    becomes one row. The header is the whole first line, whatever its length.
     """
     files = list_files(spark, path)
-    content = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .where(F.col("length") <= md5_limit)
-        .select(_plain_path("path").alias("path"), F.md5("content").alias("md5"))
-    )
     lines = with_row_number(
         spark.read.option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
         .text(path)
-        .select("value", _plain_path("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("_size")),
+        .select("value", _plain_path("_metadata.file_path").alias("path")),
         "line",
     )
-    line_hash = F.xxhash64("line", "value").cast("decimal(20,0)")
     counts = lines.groupBy("path").agg(
         F.greatest(F.count_if(F.trim("value") != "") - 1, F.lit(0)).alias("row_count"),
-        F.sum(F.when(F.col("_size") > md5_limit, line_hash)).alias("line_hash"),
+        F.sum(F.xxhash64("line", "value").cast("decimal(20,0)")).alias("line_hash"),
         F.max(F.when(F.col("line") == 2, F.col("value"))).alias("header_line"),  # lines are numbered from 2 on
     )
     wanted = F.array(*[F.lit(name) for name in sorted(required)])
     header = F.coalesce(_header(F.col("header_line")), F.array().cast("array<string>"))
     return (
-        files.join(content, "path", "left")
-        .join(counts, "path", "left")
+        files.join(counts, "path", "left")
         .select(
             F.lit(source_name).alias("source_name"),
             F.col("path").alias("file_path"),
             F.col("length").alias("file_size_bytes"),
-            F.coalesce("md5", F.md5(F.concat_ws("|", "length", "line_hash"))).alias("checksum_md5"),
+            F.md5(F.concat_ws("|", "length", "line_hash")).alias("checksum_md5"),
             F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
             F.array_except(wanted, header).alias("missing_columns"),
         )
