@@ -271,6 +271,23 @@ def test_packing(request, which, group):
     assert len(bins) <= 1.03 * -(-total // 1024) + 1
 
 
+@pytest.mark.parametrize("doc_id", ["id", "cast(null as long)"])
+def test_groups_stay_bounded_where_no_bin_closes(spark, doc_id):
+    df = spark.range(50_000).selectExpr(f"{doc_id} as doc_id", "0 as piece", "0L as start", "600L as length", "7L as ids_crc32")
+    got = packing.pack(df, 50_000).selectExpr("sequence_id", "offset", "shiftright(sequence_id, 24) as g")
+    assert got.count() == 50_000 and got.select("sequence_id").distinct().count() == 50_000 and got.where("offset <> 0").count() == 0
+    assert got.groupBy("g").count().agg(F.max("count")).first()[0] <= 22_000
+
+
+def test_pairs_of_all_pieces_are_tried():
+    lengths = np.array([17] * 24 + [299] * 2 + [600] * 3)
+    bins = packing.Bins(1024)
+    for b, items in enumerate([list(range(26)), [26], [27], [28]]):
+        bins.change(b, [], items, lengths)
+    packing.improve(bins, lengths)
+    assert len(bins.items) == 3
+
+
 def test_local_search_empties_bins():
     rnd = random.Random(1)
     lengths = np.array([rnd.randint(300, 600) for _ in range(2000)])
