@@ -3,9 +3,11 @@
 Equal vectors are one node. Nodes are dealt to shards by a hash; each shard builds its graph, layer by layer from the
 top, and every block of nodes queries every shard. A search is best-first with a beam; it runs for a whole block at
 once. A beam that is full of links widens twofold for its query until it is not, so no number of links is a cap. Each
-task audits itself: for some of its queries it compares what the graph found with all vectors of the shard, and widens
-the beam of the block until at least ``recall`` of the links are found. Links are checked by cosine in double precision
-on the original vectors, and components are joined over all shards.
+task audits itself: it compares what the graph found with all vectors of the shard, for as many queries as it takes to
+see a fixed number that do have links, or for all. The mean share of a query's links that was found, of queries with few
+links and of those with many, must be at least ``recall``, or the beam of the block widens; links that only the audit saw
+are kept. Links are checked by cosine in double precision on the original vectors, and components are joined over all
+shards.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do those of another length.
 Rows with a null id are in no class but are returned. Rows that share an id are one vector with several values.
@@ -203,19 +205,52 @@ def descend(x: np.ndarray, layers: list, q: np.ndarray, beam: int = 4) -> np.nda
     return entry
 
 
-def links_within(x: np.ndarray, layers: list, q: np.ndarray, threshold: float, beam: int = BEAM, recall: float = RECALL):
-    """Pairs (query, node) with a similarity of at least ``threshold``, and the recall that the last audit measured."""
+def _truth(x: np.ndarray, q: np.ndarray, own: np.ndarray, least: np.float32):
+    """Links (query, node) by all vectors of the shard, for queries in random order, and which queries they are whole for.
+
+    Queries with at most ``BEAM`` links and those with more are told apart. Queries are added until ``AUDITED`` of the
+    first kind have links, or the block is used up; of the second kind the first ``AUDITED`` are kept.
+    """
+    who, what, known, few, many = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], np.zeros(len(q), bool), 0, 0
+    order = np.random.default_rng(11).permutation(len(q))
+    for lo in range(0, len(q), AUDITED):
+        part = order[lo : lo + AUDITED]
+        r, c = np.nonzero(q[part] @ x.T >= least)
+        other = c != own[part[r]]
+        r, c = r[other], c[other]
+        n = np.bincount(r, minlength=len(part))
+        dense = np.flatnonzero(n > BEAM)
+        kept = n <= BEAM
+        kept[dense[: AUDITED - many]] = True
+        few, many = few + int(((n > 0) & (n <= BEAM)).sum()), min(AUDITED, many + len(dense))
+        known[part[kept]] = True
+        who.append(part[r[kept[r]]])
+        what.append(c[kept[r]].astype(np.int32))
+        if few >= AUDITED:
+            break
+    return np.concatenate(who), np.concatenate(what), known
+
+
+def links_within(x: np.ndarray, layers: list, q: np.ndarray, threshold: float, beam: int = BEAM, recall: float = RECALL, own: np.ndarray | None = None):
+    """Pairs (query, node) with a similarity of at least ``threshold``, and the share of its links found for each audited query that has some.
+
+    ``own`` is the node that a query is itself (-1: none); that pair is no link to audit. The shares are those of the
+    last search; the pairs also hold what the audit found.
+    """
     least = np.float32(threshold - 1e-5)
-    audited = np.unique(np.linspace(0, len(q) - 1, min(AUDITED, len(q))).astype(int))
-    truth = (q[audited] @ x.T) >= least
+    true_who, true_what, known = _truth(x, q, np.full(len(q), -1) if own is None else own, least)
+    total = np.bincount(true_who, minlength=len(q))
+    true_key = true_who * len(x) + true_what
     nodes, adj = layers[-1]
     place = np.full(len(x), -1, np.int64)
     place[nodes] = np.arange(len(nodes))
+    step = max(16, min(512, 20_000_000 // len(x)))
+    # queries whose links are known are asked only to measure
+    asked = np.flatnonzero(~known | (total > 0))
     while True:
-        who, what = [], []
-        step = max(16, min(512, 20_000_000 // len(x)))
-        for lo in range(0, len(q), step):
-            todo, width = np.arange(lo, min(lo + step, len(q))), beam
+        who, what, seen = [true_who], [true_what], [np.zeros(0, np.int64)]
+        for lo in range(0, len(asked), step):
+            todo, width = asked[lo : lo + step], beam
             entry = descend(x, layers[:-1], q[todo]) if len(layers) > 1 else np.tile(nodes[:1], (len(todo), 1)).astype(np.int32)
             while len(todo):
                 ids, sims = search(x, adj, place, q[todo], entry, width)
@@ -223,17 +258,17 @@ def links_within(x: np.ndarray, layers: list, q: np.ndarray, threshold: float, b
                 r, c = np.nonzero((sims >= least) & ~full[:, None])
                 who.append(todo[r])
                 what.append(ids[r, c])
+                mine = known[who[-1]]
+                seen.append(who[-1][mine] * len(x) + what[-1][mine])
                 # start again from what was found
                 todo, entry, width = todo[full], ids[full], width * 2
-        who, what = np.concatenate(who), np.concatenate(what)
-        got = np.zeros_like(truth)
-        spot = np.full(len(q), -1)
-        spot[audited] = np.arange(len(audited))
-        mine = spot[who] >= 0
-        got[spot[who[mine]], what[mine]] = True
-        reached = 1.0 if not truth.any() else float((got & truth).sum() / truth.sum())
-        if reached >= recall or beam >= len(x):
-            return who, what, reached
+        hit = np.isin(true_key, np.concatenate(seen))
+        share = np.bincount(true_who, hit, len(q))[total > 0] / total[total > 0]
+        dense = total[total > 0] > BEAM
+        # a few queries with very many links do not speak for the others
+        reached = min((float(s.mean()) for s in (share[dense], share[~dense]) if len(s)), default=1.0)
+        if reached >= recall or beam >= len(x) or known.all():
+            return np.concatenate(who), np.concatenate(what), share
         beam *= 2
 
 
@@ -251,8 +286,11 @@ def _numbers(n: int):
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def links(nodes: DataFrame, n_nodes: int, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """Links (a, b), a < b, between nodes (vec_id, v, d)."""
+def asked_links(nodes: DataFrame, n_nodes: int, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """Links (a, b), a < b, between nodes (vec_id, v, d), found once or twice; and a row of each task without a link.
+
+    That row has the number of its audited queries with links, and the sum over them of the share that the graph found.
+    """
     shards, blocks = max(SHARDS, -(-n_nodes // SHARD_ROWS)), max(1, -(-n_nodes // BLOCK_ROWS))
     nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)))
 
@@ -268,9 +306,11 @@ def links(nodes: DataFrame, n_nodes: int, threshold: float = THRESHOLD, recall:
     graph_schema = pa.schema([("shard", pa.int64()), ("d", pa.int32())] + [(c, pa.binary()) for c in ("ids", "vectors", "sizes", "nodes", "edges")])
     graphs = saved(nodes.groupBy("shard", "d").applyInArrow(index, "shard long, d int, ids binary, vectors binary, sizes binary, nodes binary, edges binary"), "graphs")
 
+    answer = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("queries", pa.int64()), ("found", pa.float64())])
+
     def ask(block, graph):
         if not block.num_rows or not graph.num_rows:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+            return answer.empty_table()
         row = {c: graph.column(c)[0].as_py() for c in graph.column_names}
         ids = np.frombuffer(row["ids"], np.int64)
         v = np.frombuffer(row["vectors"]).reshape(len(ids), -1)
@@ -280,15 +320,29 @@ def links(nodes: DataFrame, n_nodes: int, threshold: float = THRESHOLD, recall:
         layers = [(every[e - s : e], edges[e - s : e]) for s, e in zip(sizes, ends, strict=True)]
         block = block.sort_by("vec_id")
         mine, w = block.column("vec_id").to_numpy(), matrix(block.column("v"))
-        who, what, _ = links_within(_unit(v), layers, _unit(w), threshold, recall=recall)
+        at = np.minimum(np.searchsorted(ids, mine), len(ids) - 1)
+        who, what, share = links_within(_unit(v), layers, _unit(w), threshold, recall=recall, own=np.where(ids[at] == mine, at, -1))
         ok = (mine[who] != ids[what]) & (_cosines(w[who], v[what]) >= threshold)
         a, b = mine[who][ok], ids[what][ok]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        audit = {"a": [None], "b": [None], "queries": [len(share)], "found": [float(share.sum())]}
+        none = pa.nulls(len(a))
+        return pa.concat_tables([pa.table([np.minimum(a, b), np.maximum(a, b), none.cast(pa.int64()), none.cast(pa.float64())], schema=answer), pa.table(audit, schema=answer)])
 
     asked = nodes.select("vec_id", "v", "d", "block", F.explode(_numbers(shards)).alias("shard"))
     given = graphs.select("*", F.explode(_numbers(blocks)).alias("block"))
     key = ["shard", "block", "d"]
-    return asked.groupBy(*key).cogroup(given.groupBy(*key)).applyInArrow(ask, "a long, b long").distinct()
+    return asked.groupBy(*key).cogroup(given.groupBy(*key)).applyInArrow(ask, "a long, b long, queries long, found double")
+
+
+def links(nodes: DataFrame, n_nodes: int, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """Links (a, b), a < b, between nodes (vec_id, v, d)."""
+    return asked_links(nodes, n_nodes, threshold, recall).where("a is not null").select("a", "b").distinct()
+
+
+def measured_recall(nodes: DataFrame, n_nodes: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[float | None, int]:
+    """Mean share of an audited query's links in a shard that the graphs found (none: no links), and the number of such queries."""
+    found, queries = asked_links(nodes, n_nodes, threshold, recall).agg(F.sum("found"), F.sum("queries")).first()
+    return (found / queries if queries else None), queries or 0
 
 
 def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:

@@ -227,6 +227,27 @@ def test_graph_finds_the_links_of_the_given_vectors(spark):
     assert sum(r.n_links for r in got) >= 0.99 * 2 * len(links)
 
 
+@pytest.mark.parametrize("hot", [0, 300])
+def test_audit_sees_rare_links(hot):
+    rnd = np.random.default_rng(3)
+    unit = lambda v: (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    x = unit(np.concatenate([rnd.normal(size=(1500 - hot, 32)), rnd.normal(size=(1, 32)) + 0.01 * rnd.normal(size=(hot, 32))]))
+    layers = hnsw.build(x)
+    # nothing leads to three nodes: the graph misses their links
+    layers = [(n, np.where(np.isin(adj, [10, 11, 12]), -1, adj)) for n, adj in layers]
+    q = unit(np.concatenate([rnd.normal(size=(1, 32)), x[[10, 11, 12]] + 0.001, rnd.normal(size=(1500 - hot, 32)), x[1500 - hot :]]))
+    who, what, share = hnsw.links_within(x, layers, q, 0.95)
+    assert {(1, 10), (2, 11), (3, 12)} <= set(zip(who.tolist(), what.tolist(), strict=True))
+    assert len(share) >= 3 and (share == 0).sum() <= 3
+
+
+def test_measured_recall_is_returned(spark):
+    df = spark.createDataFrame([(*r, 8) for r in vectors() if r[1] is not None and len(r[1]) == 8 and r[0] < 300], "vec_id long, v array<double>, d int")
+    recall, queries = hnsw.measured_recall(df, 300)
+    assert recall >= 0.99 and queries > 0
+    assert hnsw.measured_recall(df.where("vec_id = 200"), 1) == (None, 0)
+
+
 def test_nearest_by_collisions(spark):
     for df in (spark.createDataFrame([(*r, 1, "x") for r in vectors()], "vec_id long, embedding array<float>, label int, rank string"), spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")):
         rows = [(r.vec_id, r.embedding) for r in df.collect()]
