@@ -82,17 +82,20 @@ def candidates(docs: DataFrame) -> DataFrame:
 def near(rows: DataFrame, others: DataFrame, scope: int, cell: int = SCOPE, how: str = "left_semi") -> DataFrame:
     """The rows that have (``left_anti``: have not) one of ``others`` in their document within ``scope`` of them.
 
-    A row is in the cell of its start; each of ``others`` is in all cells from which its scope can be met.
+    A row is in the cell of its start, a longer one in all cells from its start to its end; each of ``others`` is in all
+    cells from which its scope can be met.
     """
     key = ["doc_key", "text_key"]
     cells = others.select(*[F.col(c).alias(f"o_{c}") for c in (*key, "start", "end")])
-    longest = 64 + 2 * cell  # of a weak kind's match, an endpoint's may be longer: those reach over further cells
+    longest = 64 + 2 * cell  # of a match in one cell
     touched = F.sequence(F.floor((F.col("o_start") - scope - longest) / cell), F.floor((F.col("o_end") + scope) / cell))
     cells = cells.withColumn("o_cell", F.explode(touched))
-    rows = rows.withColumn("cell", F.floor(F.greatest(F.col("start"), F.col("end") - longest) / cell))
-    on = [rows[c] == cells[f"o_{c}"] for c in (*key, "cell")]
-    within = (cells["o_start"] - scope < rows["end"]) & (rows["start"] < cells["o_end"] + scope)
-    return rows.join(cells, [*on, within], how).drop("cell")
+    first, last = F.floor(F.col("start") / cell), F.floor(F.col("end") / cell)
+    dealt = rows.withColumn("cell", F.explode(F.sequence(first, F.when(F.col("end") - F.col("start") > longest, last).otherwise(first))))
+    on = [dealt[c] == cells[f"o_{c}"] for c in (*key, "cell")]
+    within = (cells["o_start"] - scope < dealt["end"]) & (dealt["start"] < cells["o_end"] + scope)
+    met = dealt.join(cells, [*on, within], "left_semi").drop("cell").distinct()
+    return met if how == "left_semi" else rows.join(met, rows.columns, how)
 
 
 def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
