@@ -11,6 +11,7 @@ shards.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do those of another length.
 Rows with a null id are in no class but are returned. Rows that share an id are one vector with several values.
+Each value is a node of its own, keyed by a hash of it and its least id; an id has the most links of any of its values.
 """
 
 from __future__ import annotations
@@ -348,16 +349,20 @@ def measured_recall(nodes: DataFrame, n_nodes: int, threshold: float = THRESHOLD
 def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """Per vector: ``n_links``, ``component_id`` and ``kept``."""
     rows = saved(usable(table), "vectors")
-    same = rows.groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-    same = saved(same.select("v", "node", "copies", F.size("v").alias("d")), "nodes")
-    nodes = same.select(F.col("node").alias("vec_id"), "v", "d").dropDuplicates(["vec_id"])
+    same = rows.groupBy("v").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
+    same = saved(same.select("v", "first", "copies", F.size("v").alias("d"), F.xxhash64("first", "v").alias("node")), "nodes")
+    members = saved(rows.join(same.select("v", "node"), "v").select("vec_id", "node"), "members")
+    nodes = same.select(F.col("node").alias("vec_id"), "v", "d")
     found = saved(links(nodes, nodes.count(), threshold, recall), "links")
     both = found.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(found.select(F.col("b").alias("node"), F.col("a").alias("other")))
     weight = same.select(F.col("node").alias("other"), "copies")
     count = both.join(weight, "other").groupBy("node").agg(F.sum("copies").alias("n"))
-    label = components(found)
-    known = same.join(count, "node", "left").join(label, "node", "left")
-    known = known.select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("label", "node").alias("c"))
-    out = rows.join(known, "v").groupBy("vec_id").agg(F.max("n").alias("n"), F.min("c").alias("c"))
+    # the values of an id are in one component
+    several = members.groupBy("vec_id").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a <> most").drop("most")
+    label = saved(components(found.unionByName(members.join(several, "vec_id").where("a <> node").select("a", F.col("node").alias("b")))), "labels")
+    least = same.select("node", "first").join(label, "node").groupBy("label").agg(F.min("first").alias("least"))
+    known = same.select("node", "first", "copies").join(count, "node", "left").join(label, "node", "left").join(least, "label", "left")
+    known = known.select("node", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("least", "first").alias("c"))
+    out = members.join(known, "node").groupBy("vec_id").agg(F.max("n").alias("n"), F.min("c").alias("c"))
     ids = table.select(F.col("vec_id").cast("long").alias("vec_id")).join(out, "vec_id", "left")
     return ids.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -227,6 +227,14 @@ def test_embedding_near_duplicates(spark):
     assert hnsw.near_duplicates(df.where("false")).collect() == []
 
 
+def test_values_of_one_id_keep_their_links(spark):
+    e = np.eye(8)
+    rows = [(1, e[0]), (1, e[1]), (2, e[0] + 0.01), (3, e[1] + 0.01), (10, e[2]), (10, e[3]), (8, e[2] + 0.01), (9, e[3] + 0.01), (9, e[3] + 0.01), (20, e[4]), (20, e[5])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>").repartition(3)
+    got = {(r.vec_id, r.n_links, r.component_id) for r in hnsw.near_duplicates(df).collect()}
+    assert got == {(1, 1, 1), (2, 1, 1), (3, 1, 1), (10, 2, 8), (8, 1, 8), (9, 2, 8), (20, 0, 20)}
+
+
 def test_graph_finds_the_links_of_the_given_vectors(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     plain = [(r.vec_id, r.embedding) for r in df.collect()]
