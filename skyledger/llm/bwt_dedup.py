@@ -1,14 +1,13 @@
-"""Removal of long repeated byte strings, by merging the suffix orders of shards without sorting all suffixes again.
+"""Removal of long repeated byte strings, by sampled anchors whose blocks are refined by hashes of longer prefixes.
 
-A shard is a slice of a task. Its suffixes are sampled: of every window of ``length`` bytes the least hash of ``GRAM``
+No Burrows-Wheeler transform, interleave or common-prefix array is built. A shard is a slice of a task. Its suffixes are sampled: of every window of ``length`` bytes the least hash of ``GRAM``
 bytes in its first ``SPAN`` places is the window's anchor, so equal windows have their anchors at the same place, and
 consecutive windows with one anchor are one run. The shard keeps the suffixes that start at anchors, with the symbols a
 merge asks for: hashes of longer and longer prefixes, and of all that the run's windows cover, to the left too.
 
-Shards are merged by interleave refinement. A round splits the blocks of suffixes that agree so far by their next symbol,
-which is an aggregate of block counts that each task combines first; suffixes alone in their block are in their final
-place and leave. So the common prefix of what is left is known after each round, and after the last one every block is an
-interval of suffixes that share all bytes which their windows have in common. In a block, suffixes whose runs are equal
+A round splits the blocks of suffixes that agree so far, over all shards, by the hash of their next longer prefix, which
+is an aggregate of block counts that each task combines first; suffixes alone in their block leave. So the common prefix of what is left is known after each round, and after the last one every block holds
+suffixes that share all bytes which their windows have in common. In a block, suffixes whose runs are equal
 to the left and right as well are repeated in full. Where a block holds different runs, one of each is compared window
 by window: the windows of a bucket of blocks are sorted by two 64-bit hashes of their bytes. Blocks of more than
 ``WIDE`` different runs do not go to one bucket: their windows are counted one by one, by their hashes.
