@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bwt_dedup, collision, dartminhash, hnsw, packing, secrets, superkmer, token_counts, toxicity, tree_bpe
+from . import bwt_dedup, codes, collision, dartminhash, hnsw, packing, quality_net, secrets, superkmer, token_counts, toxicity, tree_bpe, whitening
 from .common import table
 from .oracle import ORACLES
 
@@ -77,6 +77,21 @@ def op10_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision.search(rows, rows.where("vec_id % 20 = 0"))
 
 
+@register
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_byte_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_net.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
