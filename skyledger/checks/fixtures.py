@@ -164,8 +164,9 @@ def stored(layer: str):
             slot = (self.spark.sparkContext.applicationId, self.sf_dir, name)
             if slot not in _stored:
                 root = work_folder(self.spark, "tables")
-                _stored[slot] = tables.write_table(build(self).hint("rebalance"), root, layer, name)
-            return self.spark.read.parquet(_stored[slot])
+                tables.write_table(build(self).hint("rebalance"), root, layer, name)
+                _stored[slot] = root
+            return tables.read_table(self.spark, _stored[slot], layer, name)
 
         get.__name__, get.__doc__ = name, build.__doc__
         wrapped = cached_property(get)

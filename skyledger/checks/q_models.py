@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import assertions, dedupe
-from ..plans import features, marts, models, staging
+from ..plans import features, marts, models, staging, upkeep
 from ..session import work_folder
+from ..sources.versions import Warehouse
 from .fixtures import Tables
 from .registry import register
 
@@ -82,35 +83,47 @@ register("fact_payment", f"select {_P} from fact_p")(lambda t: t.fact_payment)
 
 
 def _earlier_fact(t: Tables):
-    """The booking fact of an earlier run: the originals alone, some under dates that are gone since."""
-    originals = staging.stg_bookings(t.raw_bookings.where("dup = 0"))
-    moved = F.when(F.col("booking_channel") == "AGENCY", F.date_sub("flight_date", 60)).otherwise(F.col("flight_date"))
-    renamed = F.when(
-        F.col("booking_channel").isin("AGENCY", "CALL_CENTER"), F.concat(F.lit("OLD-"), "booking_id")
-    ).otherwise(F.col("booking_id"))
-    return models.fact_booking(originals).withColumns({"flight_date": moved, "booking_id": renamed})
+    """The booking fact of an earlier run: other prices, some bookings under another id, some of these on dates that are gone."""
+    agency, old = F.col("booking_channel") == "AGENCY", F.col("booking_channel").isin("AGENCY", "CALL_CENTER")
+    return t.fact_booking.withColumns(
+        {
+            "flight_date": F.when(agency, F.date_sub("flight_date", 60)).otherwise(F.col("flight_date")),
+            "booking_id": F.when(old, F.concat(F.lit("OLD-"), "booking_id")).otherwise(F.col("booking_id")),
+            "ticket_price": (F.col("ticket_price") + 1).cast("decimal(18,2)"),
+        }
+    )
 
 
-_OLD_STAGE = {
-    "old_valid": "select * from b_valid where dup=0",
-    "old_fact": """select case when ch in ('AGENCY','CALL_CENTER') then 'OLD-'||id else id end as booking_id,
- case when ch='AGENCY' then d-60 else d end as flight_date, pr from
- (select upper(trim(booking_id)) as id, flight_date::date as d, abs(ticket_price::decimal(18,2)) as pr,
-  case trim(upper(replace(booking_channel,' ','_'))) when 'AGENCY' then 'AGENCY' when 'CALL_CENTER' then 'CALL_CENTER' when 'PHONE' then 'CALL_CENTER' else 'x' end as ch
-  from old_valid qualify row_number() over (partition by upper(trim(booking_id)) order by row_number desc)=1) z""",
-}
+_OLD_B = _B.replace("booking_id,", "'OLD-'||booking_id as booking_id,", 1).replace("flight_date::varchar", "(flight_date-60)::varchar").replace("ticket_price::double", "(ticket_price+1)::double")
 
 
 @register(
     "fact_booking_incremental",
-    """select booking_id, flight_date::varchar as flight_date, ticket_price::double as ticket_price from fact_b
-union all select booking_id, flight_date::varchar, pr::double from old_fact
-where flight_date not in (select flight_date from fact_b) and booking_id not in (select booking_id from fact_b)""",
-    **_OLD_STAGE,
+    f"select {_B} from fact_b union all select {_OLD_B} from fact_b where booking_channel='AGENCY' and flight_date-60 not in (select flight_date from fact_b)",
 )
 def _(t: Tables):
-    after = models.fact_booking(t.stg_bookings, _earlier_fact(t))
-    return after.select("booking_id", "flight_date", "ticket_price")
+    return models.fact_booking(t.stg_bookings, _earlier_fact(t))
+
+
+def _kept_up(t: Tables) -> Warehouse:
+    """The booking tables after three runs: half of the originals, all rows again with later versions, and the same once more."""
+    house = Warehouse(t.spark, work_folder(t.spark, "upkeep"))
+    runs = (("first", "dup = 0 and k % 2 = 0"), ("second", "true"), ("second", "true"), ("third", "true"))
+    for label, rows in runs:
+        upkeep.refresh_bookings(house, t.raw_bookings.where(rows), "60 days", label)
+    return house
+
+
+register("fact_booking_upkeep", f"select {_B} from fact_b")(lambda t: _kept_up(t).read(upkeep.FACT))
+register(
+    "mart_sales_upkeep",
+    """select flight_date::varchar as flight_date, airline, route, booking_count, revenue::double as revenue, round(average_ticket_value,6)::double as average_ticket_value,
+ refund_amount::double as refund_amount, failed_payment_count from m_sales""",
+)(lambda t: _kept_up(t).read(upkeep.SALES))
+_DIM_CUSTOMER = """select customer_id, min(booking_time)::varchar as first_booking_time, max(booking_time)::varchar as latest_booking_time,
+ count(*) as lifetime_booking_count, sum(case when booking_status='CONFIRMED' then ticket_price else 0 end)::double as lifetime_confirmed_revenue,
+ max(customer_segment) as latest_customer_segment from stg_b group by 1"""
+register("dim_customer_upkeep", _DIM_CUSTOMER)(lambda t: _kept_up(t).read(upkeep.CUSTOMERS))
 
 
 register(
@@ -214,103 +227,87 @@ def _(t: Tables):
 
 
 # Assertions ------------------------------------------------------------------------------------------
-
-
-@register(
-    "as_not_null",
-    """select model, 'not_null' as test, "column", failures from (
- select 'stg_bookings' as model, 'booking_id' as "column", count(*) filter (where booking_id is null) as failures from stg_b
- union all select 'stg_payments', 'payment_id', count(*) filter (where payment_id is null) from stg_p
- union all select 'stg_payments', 'booking_id', count(*) filter (where booking_id is null) from stg_p
- union all select 'dim_airport', 'airport_code', count(*) filter (where airport_code is null) from airport
- union all select 'fact_booking', 'booking_id', count(*) filter (where booking_id is null) from fact_b
- union all select 'fact_booking', 'ticket_price', count(*) filter (where ticket_price is null) from fact_b
- union all select 'fact_payment', 'payment_id', count(*) filter (where payment_id is null) from fact_p
- union all select 'raw_bts_flights', 'flight_date', count(*) filter (where FlightDate is null) from flights) z""",
-)
-def _(t: Tables):
-    checks = [
-        ("stg_bookings", t.stg_bookings, "booking_id"),
-        ("stg_payments", t.stg_payments, "payment_id"),
-        ("stg_payments", t.stg_payments, "booking_id"),
-        ("dim_airport", t.dim_airport, "airport_code"),
-        ("fact_booking", t.fact_booking, "booking_id"),
-        ("fact_booking", t.fact_booking, "ticket_price"),
-        ("fact_payment", t.fact_payment, "payment_id"),
-        ("raw_bts_flights", t.raw_flights, "flight_date"),
-    ]
-    return assertions.suite(
-        [assertions.summary(m, "not_null", c, assertions.as_not_null(df, c)) for m, df, c in checks]
+# Each count of the oracles is computed; sources and changed columns give checks that fail.
+
+_BOOKED, _PAID = ["CONFIRMED", "CANCELLED", "PENDING"], ["PAID", "FAILED", "REFUNDED"]
+
+
+def _models(t: Tables) -> dict:
+    return {
+        "stg_bookings": t.stg_bookings, "stg_payments": t.stg_payments, "dim_airport": t.dim_airport, "fact_booking": t.fact_booking,
+        "fact_payment": t.fact_payment, "fact_flight_status": t.fact_flight_status, "raw_bts_flights": t.raw_flights,
+        "bookings": t.bookings, "payments": t.payments, "checked_bookings": t.raw_bookings, "orders": t.given("orders"), "lineitem": t.given("lineitem"),
+        "customer": t.given("customer").where("c_custkey % 10 <> 3"),
+        "early_flights": t.fact_flight_status.selectExpr("flight_id", "delay_minutes - 30 as delay_minutes"),
+    }
+
+
+#: The tables of the oracle under the names of the models.
+_MODEL_SQL = {
+    "stg_bookings": "stg_b", "stg_payments": "stg_p", "dim_airport": "airport", "fact_booking": "fact_b", "fact_payment": "fact_p",
+    "fact_flight_status": "fact_f", "raw_bts_flights": "(select FlightDate as flight_date from flights)", "bookings": "bookings", "payments": "payments", "checked_bookings": "b_valid",
+    "orders": "orders", "lineitem": "lineitem", "customer": "(select * from customer where c_custkey%10<>3)",
+    "early_flights": "(select flight_id, delay_minutes-30 as delay_minutes from fact_f)",
+}
+
+_NOT_NULL = [
+    assertions.not_null(m, c)
+    for m, c in (
+        ("stg_bookings", "booking_id"), ("stg_payments", "payment_id"), ("stg_payments", "booking_id"), ("dim_airport", "airport_code"),
+        ("fact_booking", "booking_id"), ("fact_booking", "ticket_price"), ("fact_payment", "payment_id"), ("raw_bts_flights", "flight_date"),
     )
-
-
-@register(
-    "as_unique",
-    """select model, 'unique' as test, "column", failures from (
- select 'stg_bookings' as model, 'booking_id' as "column", 0 as failures union all select 'stg_payments', 'payment_id', 0
- union all select 'dim_airport', 'airport_code', 0 union all select 'fact_booking', 'booking_id', 0 union all select 'fact_payment', 'payment_id', 0
- union all select 'lineitem', 'l_orderkey,l_linenumber', count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*)>1) y) z""",
-)
-def _(t: Tables):
-    checks = [
-        ("stg_bookings", t.stg_bookings, ["booking_id"]),
-        ("stg_payments", t.stg_payments, ["payment_id"]),
-        ("dim_airport", t.dim_airport, ["airport_code"]),
-        ("fact_booking", t.fact_booking, ["booking_id"]),
-        ("fact_payment", t.fact_payment, ["payment_id"]),
-        ("lineitem", t.given("lineitem"), ["l_orderkey", "l_linenumber"]),
-    ]
-    return assertions.suite(
-        [assertions.summary(m, "unique", ",".join(c), assertions.as_unique(df, c)) for m, df, c in checks]
-    )
-
-
-@register(
-    "as_accepted_values",
-    """select model, 'accepted_values' as test, "column", failures from (
- select 'stg_bookings' as model, 'booking_status' as "column", 0 as failures union all select 'stg_bookings', 'payment_status', 0
- union all select 'bookings', 'booking_status', count(distinct booking_status) from bookings where booking_status not in ('CONFIRMED','CANCELLED','PENDING')) z""",
-)
-def _(t: Tables):
-    booked, paid = ["CONFIRMED", "CANCELLED", "PENDING"], ["PAID", "FAILED", "REFUNDED"]
-    checks = [
-        ("stg_bookings", t.stg_bookings, "booking_status", booked),
-        ("stg_bookings", t.stg_bookings, "payment_status", paid),
-        ("bookings", t.bookings, "booking_status", booked),
-    ]
-    return assertions.suite(
-        [
-            assertions.summary(m, "accepted_values", c, assertions.as_accepted_values(df, c, v))
-            for m, df, c, v in checks
-        ]
+]
+_UNIQUE = [
+    assertions.unique(*c)
+    for c in (
+        ("stg_bookings", "booking_id"), ("stg_payments", "payment_id"), ("dim_airport", "airport_code"), ("fact_booking", "booking_id"),
+        ("fact_payment", "payment_id"), ("lineitem", "l_orderkey", "l_linenumber"), ("bookings", "booking_id"), ("orders", "o_custkey"), ("lineitem", "l_partkey", "l_suppkey"),
     )
-
-
-@register(
-    "as_relationships",
-    """select model, 'relationships' as test, "column", failures from (
- select 'fact_payment' as model, 'booking_id' as "column", (select count(*) from fact_p where booking_id not in (select booking_id from fact_b)) as failures
- union all select 'payments', 'booking_id', (select count(*) from payments where booking_id not in (select booking_id from b_valid))
- union all select 'orders', 'o_custkey', (select count(*) from orders where o_custkey not in (select c_custkey from customer))) z""",
-)
-def _(t: Tables):
-    checks = [
-        ("fact_payment", t.fact_payment, "booking_id", t.fact_booking, "booking_id"),
-        ("payments", t.payments, "booking_id", t.checked_bookings.valid, "booking_id"),
-        ("orders", t.given("orders"), "o_custkey", t.given("customer"), "c_custkey"),
-    ]
-    return assertions.suite(
-        [
-            assertions.summary(m, "relationships", c, assertions.as_relationships(df, c, parent, key), "n")
-            for m, df, c, parent, key in checks
-        ]
-    )
-
-
-register("as_non_negative_delay", "select flight_id, delay_minutes from fact_f where delay_minutes<0")(
-    lambda t: assertions.as_non_negative_delay(t.fact_flight_status).select("flight_id", "delay_minutes")
+]
+_ACCEPTED = [
+    assertions.accepted("stg_bookings", "booking_status", _BOOKED), assertions.accepted("stg_bookings", "payment_status", _PAID),
+    assertions.accepted("bookings", "booking_status", _BOOKED), assertions.accepted("orders", "o_orderpriority", ["1-URGENT", "2-HIGH"]),
+]
+_RELATED = [
+    assertions.related("fact_payment", "booking_id", "fact_booking", "booking_id"), assertions.related("payments", "booking_id", "checked_bookings", "booking_id"),
+    assertions.related("orders", "o_custkey", "customer", "c_custkey"),
+]
+_SIGNS = [
+    assertions.non_negative("fact_flight_status", "delay_minutes"), assertions.non_negative("early_flights", "delay_minutes"), assertions.non_negative("fact_booking", "ticket_price"),
+]
+
+
+def _check_sql(c: assertions.Check) -> str:
+    """One count by a subquery of its own."""
+    table, cols = _MODEL_SQL[c.model], ", ".join(c.columns)
+    whole = " and ".join(f"{x} is not null" for x in c.columns)
+    count = {
+        "not_null": f"(select count(*) from {table} z where {cols} is null)",
+        "non_negative": f"(select count(*) from {table} z where {cols}<0)",
+        "unique": f"(select count(*) from (select 1 from {table} z where {whole} group by {cols} having count(*)>1) y)",
+        "accepted_values": f"(select count(distinct {cols}) from {table} z where {cols} not in ({', '.join(repr(v) for v in c.values)}))",
+        "relationships": f"(select count(*) from {table} z where {cols} not in (select {c.parent[1]} from {_MODEL_SQL.get(c.parent[0])} y where {c.parent[1]} is not null))",
+    }[c.test]
+    return f"""select '{c.model}' as model, '{c.test}' as test, '{c.name().replace(' ', '')}' as "column", {count} as failures"""
+
+
+def _suite(name: str, checks: list) -> None:
+    @register(name, " union all ".join(_check_sql(c) for c in checks))
+    def _(t: Tables):
+        used = {c.model for c in checks} | {c.parent[0] for c in checks}
+        return assertions.suite({m: df for m, df in _models(t).items() if m in used}, checks)
+
+
+_suite("as_not_null", _NOT_NULL)
+_suite("as_unique", _UNIQUE)
+_suite("as_accepted_values", _ACCEPTED)
+_suite("as_relationships", _RELATED)
+_suite("as_suite", _NOT_NULL + _UNIQUE + _ACCEPTED + _RELATED + _SIGNS)
+
+register("as_non_negative_delay", "select flight_id, delay_minutes-30 as delay_minutes from fact_f where delay_minutes<30")(
+    lambda t: assertions.as_non_negative_delay(t.fact_flight_status.withColumn("delay_minutes", F.col("delay_minutes") - 30)).select("flight_id", "delay_minutes")
 )
 register(
     "as_non_negative_price",
-    "select booking_id, ticket_price::double as ticket_price from fact_b where ticket_price<0",
-)(lambda t: assertions.as_non_negative_price(t.fact_booking).select("booking_id", "ticket_price"))
+    "select booking_id, (ticket_price-500)::double as ticket_price from fact_b where ticket_price<500",
+)(lambda t: assertions.as_non_negative_price(t.fact_booking.withColumn("ticket_price", F.col("ticket_price") - 500)).select("booking_id", "ticket_price"))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, quality, rules
 from ..session import work_folder
-from ..sources import tables
+from ..sources.tables import written
+from ..sources.versions import Warehouse
 from .fixtures import RUN_ID, Tables
 from .oracle import dirty
 from .registry import register
@@ -161,13 +162,20 @@ def _(t: Tables):
     f"select error_id, '{RUN_ID}' as run_id, rule_name, record_key, column_name from dq_stored",
 )
 def _(t: Tables):
-    """The bookings' errors are stored; then a run stores those of both sources."""
-    first, second = t.checked_bookings.errors, t.checked_payments.errors
-    stored = audit.persist_errors(first, RUN_ID, first.limit(0))
-    path = tables.write_table(stored, work_folder(t.spark, "stored"), "metadata", "dq_record_errors")
-    more = audit.persist_errors(first.unionByName(second), RUN_ID, t.spark.read.parquet(path))
-    tables.write_table(more, path.removesuffix("/metadata/dq_record_errors"), "metadata", "dq_record_errors", "append")
-    return t.spark.read.parquet(path).select("error_id", "run_id", "rule_name", "record_key", "column_name")
+    """The bookings' errors are stored; then the run stores those of both sources, which adds the payments' only.
+
+    An id holds the run's id, so only that run's partition is compared.
+    """
+    house, name = Warehouse(t.spark, work_folder(t.spark, "stored")), "metadata/dq_record_errors"
+    errors = written(t.checked_bookings.errors.unionByName(t.checked_payments.errors), "errors")
+    change = house.begin()
+    change.replace(name, audit.persist_errors(errors.where("source_name = 'bookings'"), RUN_ID, errors.limit(0)), ["run_id"])
+    change.commit()
+    change = house.begin()
+    mine = house.read(name, where=lambda part: part == f"run_id={RUN_ID}")
+    change.append(name, audit.persist_errors(errors, RUN_ID, mine))
+    change.commit()
+    return house.read(name).select("error_id", "run_id", "rule_name", "record_key", "column_name")
 
 
 @register(

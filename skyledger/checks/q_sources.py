@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..sources import files, messages, tables
+from ..sources import files, messages, tables, versions
 from ..streaming.envelope import BOOKING, PAYMENT, st_build_envelope
 from ..session import work_folder
 from .fixtures import Tables
@@ -24,6 +24,36 @@ def _(t: Tables):
     return files.read_csv(t.spark, folder, ["row_number", *_TEXT])
 
 
+#: Texts with line breaks, doubled quotes and commas, written by rule so that both engines know them.
+_NOTES = """select doc_id, lang, replace(replace(text, ' the ', ' "the", '), '. ', '.' || chr(10) || '"') || case when doc_id % 3 = 0 then chr(10) else '' end as note from documents"""
+
+
+def _split_session(t: Tables):
+    """A session that cuts files every 64 kB, so that blocks begin inside quoted fields."""
+    session = t.spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 16))
+    session.conf.set("spark.sql.files.openCostInBytes", "1")
+    return session
+
+
+@register(
+    "src_csv_records",
+    """select doc_id, lang, md5(coalesce(note,'')) as note_md5, len(coalesce(note,''))::bigint as note_length, row_number() over (partition by doc_id%5 order by doc_id)+1 as row_number from notes""",
+    notes=_NOTES,
+)
+def _(t: Tables):
+    """Five files whose quoted texts hold line breaks, doubled quotes and commas, read in many splits."""
+    folder = work_folder(t.spark, "notes")
+    rows = t.sql(_NOTES, "documents").withColumn("part", F.expr("doc_id % 5"))
+    ordered = rows.repartition("part").sortWithinPartitions("part", "doc_id")
+    files.write_csv(ordered, folder, ["part"])
+    back = files.read_csv(_split_session(t), folder, ["doc_id", "lang", "note"], "row_number")
+    return back.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.md5(F.coalesce("note", F.lit(""))).alias("note_md5"),
+        F.coalesce(F.length("note"), F.lit(0)).cast("bigint").alias("note_length"), "row_number",
+    )
+
+
 @register(
     "src_project_rename",
     """select null::varchar as year, FlightDate as flight_date, Reporting_Airline as reporting_airline, Origin as origin, Dest as dest,
@@ -67,8 +97,8 @@ def _(t: Tables):
     orders = t.given("orders").select("o_orderkey", "o_orderstatus", F.expr("o_orderkey div 4000").alias("chunk"))
     ordered = orders.repartition("chunk").sortWithinPartitions("chunk", "o_orderkey")
     files.write_csv(ordered, folder, ["chunk"])
-    back = files.read_csv(t.spark, folder, ["o_orderkey", "o_orderstatus"])
-    return files.with_row_number(back).select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "row_number")
+    back = files.read_csv(t.spark, folder, ["o_orderkey", "o_orderstatus"], "row_number")
+    return back.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "row_number")
 
 
 @register("src_latest_file", "select max(try_cast(flight_date as date))::varchar as latest from bookings")
@@ -82,24 +112,41 @@ def _(t: Tables):
     )
 
 
+#: The lines of delimited files, header included: a file for each year of orders, some records with a line break inside.
+_ORDER_LINES = """select yr, cast(0 as bigint) as k, case when yr%2=0 then 'order,"a, note",price' else 'order,price' end as line from (select distinct year(o_orderdate) as yr from orders) y
+union all select year(o_orderdate), o_orderkey, cast(o_orderkey as string)||',"'||o_orderpriority||case when o_orderkey%7=0 then chr(10)||repeat(chr(34),2)||'late'||repeat(chr(34),3) else chr(34) end||','||cast(o_custkey as string) from orders"""
+
+
 @register(
     "src_file_profile",
-    """select 'bookings' as source_name, count(*) as row_count, '' as missing, 'PASSED' as status, true as all_hashed from bookings
-union all select 'payments', count(*), 'amount', 'FAILED', true from payments""",
+    """select yr, count(*)-1 as row_count, sum(strlen(line)+1)::bigint as file_size_bytes, case when yr%2=0 then '' else 'a, note' end as missing, case when yr%2=0 then 'PASSED' else 'FAILED' end as status,
+ md5(sum(strlen(line)+1)::bigint::varchar||'|'||sum(('0x'||substr(md5(n::varchar||'|'||line),1,15))::hugeint)::varchar) as checksum_md5
+from (select *, row_number() over (partition by yr order by k) as n from lines) z group by yr""",
+    lines=_ORDER_LINES,
 )
 def _(t: Tables):
-    out = None
-    for source, df in (("bookings", t.bookings), ("payments", t.payments.drop("amount"))):
-        folder = work_folder(t.spark, f"profile-{source}")
-        files.write_csv(df.drop("row_number", "file_path", "k", "dup"), folder)
-        one = files.profile_files(t.spark, folder, schemas.REQUIRED_COLUMNS[source], source)
-        out = one if out is None else out.unionByName(one)
-    return out.groupBy("source_name").agg(
-        F.sum("row_count").alias("row_count"),
-        F.max(F.array_join("missing_columns", ",")).alias("missing"),
-        F.min("status").alias("status"),
-        F.bool_and((F.length("checksum_md5") == 32) & (F.col("file_size_bytes") > 0)).alias("all_hashed"),
-    )
+    """Size, records, missing columns, status and checksum of files whose content SQL knows to the byte."""
+    folder = work_folder(t.spark, "profile")
+    lines = t.sql(_ORDER_LINES, "orders")
+    name = F.concat(F.lit("orders-"), "yr")
+    ordered = lines.select(name.alias("year"), "k", F.col("line").alias("value")).repartition("year").sortWithinPartitions("year", "k")
+    ordered.drop("k").write.partitionBy("year").text(folder)
+    _rename_to_csv(t.spark, folder)
+    found = files.profile_files(t.spark, folder, ["order", "a, note", "price"], "orders")
+    return found.select(
+        F.regexp_extract("file_path", r"year=orders-(\d+)", 1).cast("bigint").alias("yr"),
+        "row_count", "file_size_bytes", F.array_join("missing_columns", ",").alias("missing"), "status", "checksum_md5",
+    )
+
+
+def _rename_to_csv(spark, folder: str) -> None:
+    """Text files get the ending that a delivered file has."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in fs.listStatus(path(folder)):
+        for file in fs.listStatus(part.getPath()) if part.isDirectory() else []:
+            if file.getPath().getName().endswith(".txt"):
+                fs.rename(file.getPath(), path(file.getPath().toString()[:-4] + ".csv"))
 
 
 @register(
@@ -118,13 +165,22 @@ def _(t: Tables):
 
 @register(
     "sink_table",
-    """select flight_date::varchar as flight_date, airline, route, booking_count, revenue::double as revenue from m_sales""",
+    """select flight_date::varchar as flight_date, airline, route, case when day(flight_date)%2=0 then booking_count else booking_count+1 end as booking_count, revenue::double as revenue,
+ (select count(*) from m_sales)::bigint as first_rows from m_sales""",
 )
 def _(t: Tables):
+    """A table is published, then its even days anew; a load that is never committed and a rerun change nothing."""
     root = work_folder(t.spark, "warehouse")
     rows = t.mart_sales_performance.select("flight_date", "airline", "route", "booking_count", "revenue")
-    tables.write_table(rows, root, "mart", "mart_sales_performance", partition_by=["flight_date"])
-    return tables.read_table(t.spark, root, "mart", "mart_sales_performance").select(*rows.columns)
+    early = rows.withColumn("booking_count", F.col("booking_count") + 1)
+    even = rows.where("day(flight_date) % 2 = 0")
+    first = tables.write_table(early, root, "mart", "mart_sales_performance", partition_by=["flight_date"])
+    for _run in range(2):
+        tables.write_table(even, root, "mart", "mart_sales_performance", partition_by=["flight_date"], label="even days")
+    house = versions.Warehouse(t.spark, root)
+    house.begin().replace("mart/mart_sales_performance", rows.limit(0))  # lost before it is committed
+    held = house.read("mart/mart_sales_performance", first).count()
+    return tables.read_table(t.spark, root, "mart", "mart_sales_performance").select(*rows.columns, F.lit(held).cast("bigint").alias("first_rows"))
 
 
 def _rows(df, kind):
@@ -134,31 +190,46 @@ def _rows(df, kind):
 
 _MESSAGE = """select '{topic}' as topic, case when {key}<>'' then {key} else 'missing-{kind}-'||(row_number-1) end as key,
  case {status} {types} else '{other}' end as event_type, updated_at as event_time, {key} as payload_key, row_number-1 as row_index from {source}"""
-
-
-@register(
-    "sink_stream_messages",
-    _MESSAGE.format(
+_MESSAGES = {
+    "sent": _MESSAGE.format(
         topic="booking_events", key="booking_id", kind="booking", status="upper(trim(booking_status))", source="bookings",
         types="when 'CONFIRMED' then 'BOOKING_CREATED' when 'CANCELLED' then 'BOOKING_CANCELLED'", other="BOOKING_UPDATED",
-    ).replace(", row_number-1 as row_index", "")
+    )
     + " union all "
     + _MESSAGE.format(
         topic="payment_events", key="payment_id", kind="payment", status="upper(trim(payment_status))", source="payments",
         types="when 'PAID' then 'PAYMENT_CAPTURED' when 'FAILED' then 'PAYMENT_FAILED' when 'REFUNDED' then 'PAYMENT_REFUNDED'",
         other="PAYMENT_UPDATED",
-    ).replace(", row_number-1 as row_index", ""),
-)
-def _(t: Tables):
+    )
+}
+_OFFSETS = """select topic, key, event_type, event_time, payload_key, partition, row_number() over (partition by topic, partition order by row_index)-1 as kafka_offset
+ from (select *, (('0x'||substr(md5(key),1,8))::bigint%3)::int as partition from sent) z"""
+
+
+def _sent(t: Tables, first: int | None = None):
+    """The messages of both sources, keyed to partitions and numbered in source order in blocks of 5,000 records."""
     out = None
     for df, kind in ((t.bookings, BOOKING), (t.payments, PAYMENT)):
-        one = messages.to_messages(st_build_envelope(_rows(df, kind), kind), kind.topic)
-        one = one.select(
-            "topic",
-            "key",
-            F.get_json_object("value", "$.event_type").alias("event_type"),
-            F.get_json_object("value", "$.event_time").alias("event_time"),
-            F.get_json_object("value", f"$.payload.{kind.key}").alias("payload_key"),
-        )
+        one = messages.to_messages(st_build_envelope(_rows(df, kind), kind), kind.topic, first)
         out = one if out is None else out.unionByName(one)
-    return out
+    return messages.with_offsets(out, block=5000).select(
+        "topic",
+        "key",
+        F.get_json_object("value", "$.event_type").alias("event_type"),
+        F.get_json_object("value", "$.event_time").alias("event_time"),
+        F.coalesce(F.get_json_object("value", "$.payload.booking_id").alias("b"), F.lit("")).alias("booking"),
+        F.get_json_object("value", "$.payload.payment_id").alias("payment"),
+        "partition",
+        "kafka_offset",
+    ).withColumn("payload_key", F.when(F.col("topic") == BOOKING.topic, F.col("booking")).otherwise(F.col("payment"))).drop("booking", "payment")
+
+
+@register("sink_stream_messages", _OFFSETS, **_MESSAGES)
+def _(t: Tables):
+    return _sent(t)
+
+
+@register("sink_stream_messages_first", _OFFSETS.replace("from sent)", "from sent where row_index<=1000)"), **_MESSAGES)
+def _(t: Tables):
+    """The feature of a bounded run: the first thousand records of each source."""
+    return _sent(t, 1000)

@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import md5_id, row_json
 from ..schemas import FILE_REGISTRY, LOAD_AUDIT, RUN_LOG
+from ..sources.tables import written
 from .dedupe import keep_first
 from .incremental import insert_missing, upsert
 
+if TYPE_CHECKING:
+    from ..sources.versions import Transaction, Warehouse
+
 LOADED, SKIPPED = "LOADED", "SKIPPED_ALREADY_LOADED"
+AUDIT_UPDATE = ["inserted_rows", "skipped_rows", "load_status", "completed_at", "error_message"]
+REGISTRY_UPDATE = ["row_count", "checksum_md5", "load_status", "completed_at", "error_message"]
+RUN_UPDATE = ["total_input_rows", "total_loaded_rows", "dbt_status", "test_status"]
+AUDIT_TABLE, REGISTRY_TABLE, RUN_TABLE = "metadata/load_audit", "metadata/file_registry", "metadata/run_log"
+BUCKETS = 64
 
 
 def conform(df: DataFrame, schema: str) -> DataFrame:
@@ -49,8 +60,8 @@ def load_outcomes(profiles: DataFrame, audit: DataFrame) -> DataFrame:
     )
 
 
-def audit_rows(run_id: str, loads: DataFrame, audit: DataFrame, at: Column | None = None) -> DataFrame:
-    """The audit table after this run; a row of the same run, source, table and content is updated."""
+def audit_updates(run_id: str, loads: DataFrame, at: Column | None = None) -> DataFrame:
+    """Audit rows of one run, one for each source, table and content."""
     when = F.current_timestamp() if at is None else at
     rows = loads.withColumns(
         {
@@ -59,13 +70,16 @@ def audit_rows(run_id: str, loads: DataFrame, audit: DataFrame, at: Column | Non
             "completed_at": when,
         }
     ).withColumn("load_audit_id", md5_id("run_id", "source_name", "target_table", "checksum_md5"))
-    update = ["inserted_rows", "skipped_rows", "load_status", "completed_at", "error_message"]
-    new = keep_first(conform(rows, LOAD_AUDIT), ["load_audit_id"], [F.col("file_path").asc()])
-    return upsert(conform(audit, LOAD_AUDIT), new, ["load_audit_id"], update)
+    return keep_first(conform(rows, LOAD_AUDIT), ["load_audit_id"], [F.col("file_path").asc()])
 
 
-def register_files(report: DataFrame, registry: DataFrame, status: str = LOADED, at: Column | None = None) -> DataFrame:
-    """The file registry after this report, one row per content."""
+def audit_rows(run_id: str, loads: DataFrame, audit: DataFrame, at: Column | None = None) -> DataFrame:
+    """The audit table after this run; a row of the same run, source, table and content is updated."""
+    return upsert(conform(audit, LOAD_AUDIT), audit_updates(run_id, loads, at), ["load_audit_id"], AUDIT_UPDATE)
+
+
+def registry_updates(report: DataFrame, status: str = LOADED, at: Column | None = None) -> DataFrame:
+    """Registry rows of a report, one per content."""
     when = F.current_timestamp() if at is None else at
     rows = report.withColumns(
         {
@@ -77,21 +91,23 @@ def register_files(report: DataFrame, registry: DataFrame, status: str = LOADED,
             "error_message": F.nullif(F.array_join("missing_columns", "; "), F.lit("")),
         }
     )
-    update = ["row_count", "checksum_md5", "load_status", "completed_at", "error_message"]
-    new = keep_first(conform(rows, FILE_REGISTRY), ["file_id"], [F.col("file_path").asc()])
-    return upsert(conform(registry, FILE_REGISTRY), new, ["file_id"], update)
+    return keep_first(conform(rows, FILE_REGISTRY), ["file_id"], [F.col("file_path").asc()])
 
 
-def run_log(
+def register_files(report: DataFrame, registry: DataFrame, status: str = LOADED, at: Column | None = None) -> DataFrame:
+    """The file registry after this report, one row per content."""
+    return upsert(conform(registry, FILE_REGISTRY), registry_updates(report, status, at), ["file_id"], REGISTRY_UPDATE)
+
+
+def run_summary(
     registry: DataFrame,
     run_id: str,
-    log: DataFrame,
     dag_id: str = "manual",
     execution_date: Column | None = None,
     model_status: str = "SUCCESS",
     test_status: str = "SUCCESS",
 ) -> DataFrame:
-    """The run log after this run: files and rows of the whole registry."""
+    """The log row of a run: files and rows of the whole registry."""
     when = F.current_timestamp() if execution_date is None else execution_date
     rows = F.coalesce(F.sum("row_count"), F.lit(0))
     run = registry.agg(
@@ -108,8 +124,12 @@ def run_log(
             "created_at": F.current_timestamp(),
         }
     )
-    update = ["total_input_rows", "total_loaded_rows", "dbt_status", "test_status"]
-    return upsert(conform(log, RUN_LOG), conform(run, RUN_LOG), ["run_id"], update)
+    return conform(run, RUN_LOG)
+
+
+def run_log(registry: DataFrame, run_id: str, log: DataFrame, **state) -> DataFrame:
+    """The run log after this run."""
+    return upsert(conform(log, RUN_LOG), run_summary(registry, run_id, **state), ["run_id"], RUN_UPDATE)
 
 
 def persist_errors(errors: DataFrame, run_id: str, target: DataFrame) -> DataFrame:
@@ -149,6 +169,50 @@ def load(
     return kept.unionByName(new), audit_rows(run_id, outcomes, history, at)
 
 
+def _keyed(change: Transaction, name: str, schema: str, keys: list[str]) -> None:
+    if change.table(name) is None:
+        change.create(name, schema, keys, BUCKETS)
+
+
+def record_loads(change: Transaction, run_id: str, loads: DataFrame, at: Column | None = None) -> list[int]:
+    """Merge the audit rows of a run into the stored audit; returns the buckets that were written."""
+    _keyed(change, AUDIT_TABLE, LOAD_AUDIT, ["load_audit_id"])
+    return change.merge(AUDIT_TABLE, audit_updates(run_id, loads, at), AUDIT_UPDATE)
+
+
+def record_files(change: Transaction, report: DataFrame, status: str = LOADED, at: Column | None = None) -> list[int]:
+    """Merge a report into the stored file registry."""
+    _keyed(change, REGISTRY_TABLE, FILE_REGISTRY, ["file_id"])
+    return change.merge(REGISTRY_TABLE, registry_updates(report, status, at), REGISTRY_UPDATE)
+
+
+def record_run(change: Transaction, registry: DataFrame, run_id: str, **state) -> list[int]:
+    """Merge the summary of a run into the stored run log."""
+    _keyed(change, RUN_TABLE, RUN_LOG, ["run_id"])
+    return change.merge(RUN_TABLE, run_summary(registry, run_id, **state), RUN_UPDATE)
+
+
+def load_files(
+    house: Warehouse, table: str, rows: DataFrame, profiles: DataFrame, run_id: str, at: Column | None = None
+) -> DataFrame:
+    """Load delivered files into a stored raw table, and their audit, in one commit; the outcome of each file.
+
+    What the table already holds is skipped. The rows of every other file take the place of those that the table has
+    of the same ``file_path``; only buckets with such a file are read and written. The run's label makes a rerun
+    of a committed load change nothing.
+    """
+    change = house.begin()
+    if change.table(table) is None:
+        change.create(table, rows.schema, ["file_path"], BUCKETS)
+    _keyed(change, AUDIT_TABLE, LOAD_AUDIT, ["load_audit_id"])
+    outcomes = written(load_outcomes(profiles, change.read(AUDIT_TABLE)), "load-outcomes")
+    changed = outcomes.where(F.col("load_status") == LOADED).select("file_path")
+    change.replace_keys(table, changed, rows.join(changed, "file_path", "left_semi"))
+    record_loads(change, run_id, outcomes, at)
+    change.commit(f"{run_id}|{table}")
+    return outcomes
+
+
 def file_counts(raw: DataFrame, source_name: str, target_table: str) -> DataFrame:
     """Rows that a raw table holds of each source file."""
     return raw.groupBy("file_path").agg(F.count(F.lit(1)).alias("actual_raw_rows")).select(

@@ -1,8 +1,8 @@
-"""Upserts, slice replacement and partition replacement on Parquet tables."""
+"""Upserts, slice replacement and partition replacement as plans; ``sources.versions`` has them for written tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import like_any
@@ -15,24 +15,23 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys; for known keys take only ``update_cols`` from the new row.
 
-    Both sides are unique by key, so the join cannot fan out or pile up on one key. With ``order``
-    the new rows are first reduced to the first one per key.
+    Both sides are unique by key, so no join can fan out or pile up on one key. The new rows, and the keys of
+    theirs that are known, are the right sides of joins: where they are few, AQE broadcasts them and the target is not
+    shuffled. With ``order`` the new rows are first reduced to the first one per key. On a written table
+    ``versions.Transaction.merge`` does this with the buckets that the new rows touch.
     """
     if order:
         new = keep_first(new, keys, order)
-    old = target.select(*keys, F.struct(*target.columns).alias("_old"))
-    fresh = new.select(*keys, F.struct(*target.columns).alias("_new"))
-    both = old.join(fresh, keys, "full_outer")
+    fresh = new.select(*keys, F.struct(*[name for name in target.columns]).alias("_new"))
 
     def value(name: str) -> Column:
-        if name in keys:
-            return F.col(name)
-        known, fresh_value = F.col("_old").isNotNull(), F.col("_new")[name]
-        if name in update_cols:
-            return F.when(F.col("_new").isNotNull(), fresh_value).otherwise(F.col("_old")[name]).alias(name)
-        return F.when(known, F.col("_old")[name]).otherwise(fresh_value).alias(name)
+        if name in update_cols and name not in keys:
+            return F.when(F.col("_new").isNotNull(), F.col("_new")[name]).otherwise(F.col(name)).alias(name)
+        return F.col(name)
 
-    return both.select(*[value(name) for name in target.columns])
+    known = target.join(fresh, keys, "left").select(*[value(name) for name in target.columns])
+    hit = target.select(*keys).join(new.select(*keys), keys, "left_semi")
+    return known.unionByName(new.join(hit, keys, "left_anti").select(*target.columns))
 
 
 def insert_missing(target: DataFrame, new: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
@@ -62,37 +61,3 @@ def delete_insert(target: DataFrame, new: DataFrame, part_col: str, keys: list[s
     if keys != [part_col]:
         kept = kept.join(new.select(*keys).distinct(), keys, "left_anti")
     return kept.select(*target.columns).unionByName(new.select(*target.columns))
-
-
-def merge_partitions(spark: SparkSession, path: str, new: DataFrame, part_col: str, keys: list[str]) -> None:
-    """The same on a table written below ``path`` by partition, rewriting no more than it must.
-
-    Partitions of the new rows are replaced without being read. Only where a new key sits in another
-    partition is that partition rewritten, and the one of NULL if new rows are in it; the search for such
-    keys reads the key columns alone.
-    """
-    target = spark.read.parquet(path)
-    known = new.select(*keys).distinct()
-    elsewhere = rows_in(target.select(part_col, *keys), new, part_col, anti=True)
-    moved = elsewhere.join(known, keys, "left_semi").select(part_col)
-    # no value equals NULL, so rows without one are kept as in any other partition; but their folder is replaced whole
-    without = new.where(F.col(part_col).isNull()).select(part_col)
-    disturbed = moved.unionByName(without).distinct().withColumnRenamed(part_col, "_part")
-    others = target.join(disturbed, F.col(part_col).eqNullSafe(F.col("_part")), "left_semi")
-    others = others.join(known, keys, "left_anti").select(*target.columns)
-    write_partitions(new.select(*target.columns).unionByName(others), path, part_col)
-
-
-def write_partitions(df: DataFrame, path: str, part_col: str) -> None:
-    """Replace exactly the partitions that ``df`` holds.
-
-    Rows are gathered by partition for the write, and AQE splits a partition that is too large for one
-    task, so there are few files and no hot task.
-    """
-    (
-        df.hint("rebalance", part_col)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part_col)
-        .parquet(path)
-    )

@@ -123,6 +123,10 @@ def int_customer_booking(fact_booking: DataFrame) -> DataFrame:
         F.max("booking_time").alias("latest_booking_time"),
         F.min("booking_time").alias("first_booking_time"),
     )
+    return with_lifecycle(spend)
+
+
+def with_lifecycle(spend: DataFrame) -> DataFrame:
     segment = (
         F.when(F.col("booking_count") == 1, "NEW")
         .when(F.col("total_spend") >= HIGH_VALUE_FROM, "HIGH_VALUE")

@@ -81,14 +81,10 @@ def stg_airports(raw_airports: DataFrame) -> DataFrame:
     )
 
 
-def stg_bookings(raw_bookings: DataFrame, token_order: str = "replace_first") -> DataFrame:
-    """Latest version of each booking, with codes, statuses and prices standardised.
-
-    ``replace_first`` turns padding into underscores, so a padded status falls to its default;
-    ``trim_first`` reads it as the bare status.
-    """
+def booking_versions(raw_bookings: DataFrame, token_order: str = "replace_first") -> DataFrame:
+    """Every version of each booking with a key, with codes, statuses and prices standardised, and its record number."""
     token = TOKEN_ORDER[token_order]
-    clean = drop_blank_key(raw_bookings, "booking_id").select(
+    return drop_blank_key(raw_bookings, "booking_id").select(
         trim_upper("booking_id").alias("booking_id"),
         default(F.nullif(trim_upper("customer_id"), F.lit("")), "UNKNOWN_CUSTOMER").alias("customer_id"),
         trim_upper("flight_id").alias("flight_id"),
@@ -109,7 +105,19 @@ def stg_bookings(raw_bookings: DataFrame, token_order: str = "replace_first") ->
         "loaded_at",
         "row_number",
     )
-    latest = keep_latest(clean, ["booking_id"], VERSION_ORDER)
+
+
+def stg_bookings(raw_bookings: DataFrame, token_order: str = "replace_first") -> DataFrame:
+    """Latest version of each booking, with codes, statuses and prices standardised.
+
+    ``replace_first`` turns padding into underscores, so a padded status falls to its default;
+    ``trim_first`` reads it as the bare status.
+    """
+    return current_bookings(keep_latest(booking_versions(raw_bookings, token_order), ["booking_id"], VERSION_ORDER))
+
+
+def current_bookings(latest: DataFrame) -> DataFrame:
+    """The columns of the staging model, of versions that are the latest of their bookings."""
     return latest.select(
         "booking_id",
         "customer_id",

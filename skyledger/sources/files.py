@@ -8,21 +8,33 @@ from pyspark.sql import types as T
 
 from ..functions import now, strip, try_date
 from ..schemas import text_schema
+from .records import fields, plain_path, split_records
+from .tables import written
 
-BLOCK_TABLE_LIMIT = 200_000  # blocks whose offsets may be broadcast: about 40 MB
 
+def read_csv(spark: SparkSession, path: str | list[str], schema, row_number: str | None = None) -> DataFrame:
+    """Delimited files with a header, every column as text, found by its name in the header of its file.
 
-def read_csv(spark: SparkSession, path: str | list[str], schema, multiline: bool = False) -> DataFrame:
-    """Delimited files with a header, every column as text; a byte-order mark is dropped, empty is NULL."""
+    Quoted fields may hold line breaks, and files are read in many splits all the same (``records``). A byte-order mark is
+    dropped; an empty field and a column that a file lacks are NULL. With ``row_number`` a column of that name numbers the
+    records of each file from 2 on.
+    """
     wanted = schema if isinstance(schema, T.StructType) else text_schema(schema)
-    return (
-        spark.read.schema(wanted)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    found = split_records(spark, path)
+    header = written(found.where("number = 1").select("path", fields("record").alias("_names")), "headers")
+    rows = found.where("number > 1").join(header, "path").withColumn("_fields", fields("record"))
+    out = [] if row_number is None else [F.col("number").alias(row_number)]
+    for f in wanted.fields:
+        text = F.nullif(F.get("_fields", (F.array_position("_names", f.name) - 1).cast("int")), F.lit(""))
+        out.append((text if isinstance(f.dataType, T.StringType) else text.try_cast(f.dataType)).alias(f.name))
+    return rows.select(*out)
+
+
+def read_csv_lines(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
+    """The same where each record is known to be one line and the header to be the schema: one scan and no other pass."""
+    wanted = schema if isinstance(schema, T.StructType) else text_schema(schema)
+    reader = spark.read.schema(wanted).option("header", True).option("escape", '"').option("enforceSchema", False)
+    return reader.csv(path)
 
 
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -87,12 +99,12 @@ def with_lineage(df: DataFrame, loaded_at: Column | None = None) -> DataFrame:
 
 
 def with_row_number(df: DataFrame, name: str = "row_number") -> DataFrame:
-    """Number the records of each file from 2 on (the header is line 1); call it right after the scan.
+    """Number the rows of a scan by file, from 2 on (the header is line 1); call it right after the scan.
 
     No row is shuffled. Row positions inside a scan follow ``monotonically_increasing_id``; a first
     pass counts the rows of every file block, and a running sum over the blocks of a file gives the
-    number at which each block starts. The block table has one short row per block. It is broadcast
-    only while it is small, else joined by shuffle. Both passes must cut the files alike, so keep
+    number at which each block starts. The block table has one short row per block and is written, so Spark
+    chooses the join by its size. Both passes must cut the files alike, so keep
     the ``spark.sql.files`` settings; a block that the first pass did not see fails the job.
     """
     position = df.select(
@@ -104,17 +116,8 @@ def with_row_number(df: DataFrame, name: str = "row_number") -> DataFrame:
     blocks = position.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_pos").alias("_first")
     )
-    starts = blocks.select(
-        "_file",
-        "_block",
-        "_first",
-        F.expr(
-            "sum(_rows) over (partition by _file order by _block rows unbounded preceding) - _rows"
-        ).alias("_before"),
-    )
-    # Listing the files is cheap; blocks are at most one per split, so this bounds the table.
-    if df.rdd.getNumPartitions() + len(df.inputFiles()) <= BLOCK_TABLE_LIMIT:
-        starts = F.broadcast(starts)
+    running = F.expr("sum(_rows) over (partition by _file order by _block rows unbounded preceding) - _rows")
+    starts = written(blocks.select("_file", "_block", "_first", running.alias("_before")), "blocks")
     number = F.col("_pos") - F.col("_first") + F.col("_before") + 2
     unseen = F.raise_error(F.lit("file blocks changed between the two passes")).cast("bigint")
     return (
@@ -131,7 +134,7 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .load(path)
-        .select(_plain_path("path").alias("path"), "length", "modificationTime")
+        .select(plain_path("path").alias("path"), "length", "modificationTime")
     )
 
 
@@ -140,42 +143,31 @@ def latest_file(spark: SparkSession, folder: str, glob: str = "*.csv") -> str |
     return list_files(spark, folder, glob).agg(F.max("path")).first()[0]
 
 
-def _header(line: Column) -> Column:
-    """Names in a header line; a quoted one may hold commas and doubled quotes."""
-    line = F.regexp_replace(line, "^\\x{FEFF}|\\r$", "")
-    fields = F.regexp_extract_all(line, F.lit(r'("[^"]*+(?:""[^"]*+)*+"|[^,]*+)(?:,|$)'), F.lit(1))
-    return F.transform(fields, lambda c: F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"')))
-
-
 def profile_files(spark: SparkSession, path: str | list[str], required: list[str], source_name: str) -> DataFrame:
     """Size, checksum, record count, missing required columns and status of each file.
 
-    The checksum is one of the content, the same for files of every size: the MD5 of the length and
-    the sum of the hashes of the numbered lines, so it changes with their order too and no file
-    becomes one row. The header is the whole first line, whatever its length.
+    Records are those of ``records``: quoted line breaks do not end them, blank lines are none. The checksum is one of the
+    content, the same for files of every size: the MD5 of the size and the sum of the first 60 bits of the MD5 of each
+    numbered record, so it changes with their order too and no file becomes one row. The header is the whole first
+    record, whatever its length.
     """
     files = list_files(spark, path)
-    lines = with_row_number(
-        spark.read.option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .text(path)
-        .select("value", _plain_path("_metadata.file_path").alias("path")),
-        "line",
-    )
-    counts = lines.groupBy("path").agg(
-        F.greatest(F.count_if(F.trim("value") != "") - 1, F.lit(0)).alias("row_count"),
-        F.sum(F.xxhash64("line", "value").cast("decimal(20,0)")).alias("line_hash"),
-        F.max(F.when(F.col("line") == 2, F.col("value"))).alias("header_line"),  # lines are numbered from 2 on
+    records = split_records(spark, path, "*.csv")
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", "number", "record")), 1, 15), 16, 10)
+    counts = records.groupBy("path").agg(
+        (F.count(F.lit(1)) - 1).alias("row_count"),
+        F.sum(bits.cast("decimal(38,0)")).alias("content"),
+        F.max(F.when(F.col("number") == 1, F.col("record"))).alias("header_record"),
     )
     wanted = F.array(*[F.lit(name) for name in sorted(required)])
-    header = F.coalesce(_header(F.col("header_line")), F.array().cast("array<string>"))
+    header = F.coalesce(fields("header_record"), F.array().cast("array<string>"))
     return (
         files.join(counts, "path", "left")
         .select(
             F.lit(source_name).alias("source_name"),
             F.col("path").alias("file_path"),
             F.col("length").alias("file_size_bytes"),
-            F.md5(F.concat_ws("|", "length", "line_hash")).alias("checksum_md5"),
+            F.md5(F.concat_ws("|", "length", F.coalesce("content", F.lit(0).cast("decimal(38,0)")))).alias("checksum_md5"),
             F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
             F.array_except(wanted, header).alias("missing_columns"),
         )
@@ -184,8 +176,3 @@ def profile_files(spark: SparkSession, path: str | list[str], required: list[str
             F.when((F.size("missing_columns") > 0) | (F.col("row_count") == 0), "FAILED").otherwise("PASSED"),
         )
     )
-
-
-def _plain_path(c: str) -> Column:
-    """One spelling for ``file:/x`` and ``file:///x``."""
-    return F.regexp_replace(c, "^file:/+", "file:/")

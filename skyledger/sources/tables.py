@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .files import write_csv
+from ..session import work_folder
 
 
 def land(df: DataFrame, root: str, parts: list[str]) -> None:
@@ -12,11 +12,16 @@ def land(df: DataFrame, root: str, parts: list[str]) -> None:
 
     Rows are gathered by key for the write, and AQE splits a key that is too large for one task.
     """
+    from .files import write_csv
+
     write_csv(df.hint("rebalance", *parts), root, parts)
 
 
-def table_path(root: str, layer: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{layer}/{name}"
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows in a work folder of their own; a plan over them is short and knows their size."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_table(
@@ -26,21 +31,30 @@ def write_table(
     name: str,
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
-) -> str:
-    """Write a result table as Parquet; with partitions, overwrite replaces only those it holds."""
-    path = table_path(root, layer, name)
-    if partition_by:
-        gathered = df.hint("rebalance", *partition_by).write.mode(mode)
-        gathered.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+    label: str | None = None,
+) -> int:
+    """Publish a result table as the next version of the warehouse; with partitions, overwrite replaces only those it holds.
+
+    A version is visible as a whole or not at all, and what is being read stays (``versions``). A second call with
+    the same ``label`` changes nothing. Returns the version.
+    """
+    from .versions import Warehouse
+
+    house = Warehouse(df.sparkSession, root)
+    if label is not None and house.holds(label):
+        return house.manifest()[1]["labels"][label]
+    change, table = house.begin(), f"{layer}/{name}"
+    if mode == "append" and change.table(table) is not None:
+        change.append(table, df)
+    elif partition_by and len(partition_by) == 1 and change.table(table) is not None:
+        change.replace_parts(table, df, partition_by[0])
     else:
-        df.write.mode(mode).parquet(path)
-    return path
+        change.replace(table, df, partition_by)
+    return change.commit(label)
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, layer, name))
-
+    """The latest version of a result table."""
+    from .versions import Warehouse
 
-def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", **options: str) -> None:
-    """Write a result table to a database; the driver jar must be on the class path."""
-    df.write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()
+    return Warehouse(spark, root).read(f"{layer}/{name}")

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import random
+
+import duckdb
+from conftest import plan_of
+from pyspark.sql import functions as F
 
 from skyledger.sources import files, tables
 
@@ -26,7 +32,7 @@ def test_record_numbers_over_many_blocks(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        df = files.with_row_number(files.read_csv(spark, str(tmp_path), ["id", "pad"]))
+        df = files.with_row_number(files.read_csv_lines(spark, str(tmp_path), ["id", "pad"]))
         got = df.collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -34,6 +40,79 @@ def test_record_numbers_over_many_blocks(spark, tmp_path):
     assert all(r.row_number == int(r.id.split("-")[1]) for r in got)
 
 
+def _csv_text(rnd, quoted_breaks: bool) -> str:
+    """A file with quoted commas, doubled and stray quotes, blank lines, both line ends and quoted line breaks."""
+    parts = ["a", "b c", "", "é", ",", '""', "x" * 30] + (["\n", "\r\n", "\n\n", '\n""', ',"" '] if quoted_breaks else [])
+    loose = ["a", "", "5in", 'b"c', 'd"', " e", "é" * 20]
+    out = ['id,"no, te",last']
+    for i in range(rnd.randint(0, 40)):
+        cells = [str(i)]
+        for _ in range(rnd.randint(1, 3)):
+            quoted = '"' + "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 4))) + '"'
+            cells.append(rnd.choice([quoted, quoted + rnd.choice(["", "z", 'z"']), rnd.choice(loose)]))
+        out.append(",".join(cells))
+        out += [""] * (rnd.random() < 0.1)
+    return "".join(line + rnd.choice(["\n", "\r\n"]) for line in out)
+
+
+def test_records_are_those_of_a_csv_reader_at_any_split(spark, tmp_path):
+    """Many files, cut every few dozen bytes, so that most blocks begin inside quotes; with and without quoted breaks."""
+    rnd, want = random.Random(7), []
+    for n in range(40):
+        text = _csv_text(rnd, n % 4 > 0)
+        (tmp_path / f"f{n}.csv").write_bytes((("\ufeff" if n % 5 == 0 else "") + text).encode())
+        with (tmp_path / f"f{n}.csv").open(encoding="utf-8-sig", newline="") as handle:
+            for number, row in enumerate(csv.DictReader(handle), start=2):
+                want.append((f"f{n}.csv", number, row["id"] or None, row["no, te"] or None, row["last"] or None))
+    (tmp_path / "none.csv").write_text("")
+    for size in ("37", "400", "100000"):
+        cut = spark.newSession()
+        cut.conf.set("spark.sql.files.maxPartitionBytes", size)
+        cut.conf.set("spark.sql.files.openCostInBytes", "1")
+        found = files.split_records(cut, str(tmp_path))
+        assert size == "100000" or cut.read.text(str(tmp_path)).rdd.getNumPartitions() > 40
+        assert found.where("number = 1").count() == 40
+        rows = files.read_csv(cut, str(tmp_path / "f*.csv"), ["id", "no, te", "last", "absent"], "number")
+        assert all(r.absent is None for r in rows.collect())
+        named = found.where("number > 1").select(F.element_at(F.split("path", "/"), -1).alias("file"), "number", files.fields("record").alias("f"))
+        got = [(r.file, r.number, *[(r.f[i] or None) if i < len(r.f) else None for i in range(3)]) for r in named.collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert sorted(map(str, [r[1:] for r in want])) == sorted(map(str, [(r.number, r.id, r["no, te"], r.last) for r in rows.collect()]))
+
+
+def test_records_equal_those_of_a_database(spark, tmp_path):
+    """The same quoted line breaks read by another engine."""
+    rnd = random.Random(3)
+    cells = [[f"{i}", "".join(rnd.choice(["a", "\n", '"', ",", " "]) for _ in range(rnd.randint(1, 60)))] for i in range(400)]
+    with (tmp_path / "a.csv").open("w", newline="") as handle:
+        csv.writer(handle, lineterminator="\n").writerows([["id", "note"], *cells])
+    cut = spark.newSession()
+    cut.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    cut.conf.set("spark.sql.files.openCostInBytes", "1")
+    got = sorted(map(tuple, files.read_csv(cut, str(tmp_path / "a.csv"), ["id", "note"]).collect()))
+    want = duckdb.execute(f"select id, note from read_csv('{tmp_path}/a.csv', header=true, all_varchar=true, quote='\"', escape='\"')").fetchall()
+    assert got == sorted(want) and len(got) == 400
+
+
+def test_plain_records_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,note\n" + "".join(f'{i},"a, ""b"""\n' for i in range(500)))
+    df = files.read_csv(spark, str(tmp_path), ["id", "note"], "row_number")
+    assert df.count() == 500 and df.where("row_number = cast(id as bigint) + 2").count() == 500
+    assert plan_of(df).count("Exchange hashpartitioning") == 0
+
+
+def test_a_quote_that_never_closes_takes_the_rest(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note\n1,"x\n2,y\n\n3,z\n')
+    got = files.read_csv(spark, str(tmp_path), ["id", "note"], "n").collect()
+    assert [tuple(r) for r in got] == [(2, "1", "x\n2,y\n\n3,z")]
+
+
+def test_profile_counts_records(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"id","two\nlines"\nA,"x\ny"\nB,z\n\n')
+    got = files.profile_files(spark, str(tmp_path), ["id", "two\nlines"], "s").first()
+    assert (got.row_count, got.missing_columns, got.status) == (2, [], "PASSED")
+
+
 def test_profile_matches_the_file(spark, tmp_path):
     good, empty = tmp_path / "good.csv", tmp_path / "empty.csv"
     good.write_bytes(b"\xef\xbb\xbfident,name\r\n1,a\r\n2,b\r\n")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import assertions, audit, dedupe, filters, incremental, inject, quality, rules
 from skyledger.plans import features, marts, models
+from skyledger.sources import versions
 
 TEXT = ["booking_id", "customer_id", "flight_id", "flight_date", "ticket_price", "booking_status", "payment_status",
         "booking_channel"]
@@ -143,10 +144,12 @@ def test_merge_keeps_what_delete_insert_keeps_without_a_partition(spark, rows, t
     schema = "k int, day string, v int"
     old = rows([(1, None, 1), (2, None, 1), (3, "a", 1), (4, "b", 1), (5, "b", 1)], schema)
     for new in (rows([(2, "a", 2), (6, None, 2)], schema), rows([(1, "a", 2)], schema), rows([(4, None, 2)], schema)):
-        path = str(tmp_path / str(hash(str(new.collect()))))
-        old.write.partitionBy("day").parquet(path)
-        incremental.merge_partitions(spark, path, new, "day", ["k"])
-        got = sorted(map(str, spark.read.parquet(path).select("k", "day", "v").collect()))
+        house = versions.Warehouse(spark, str(tmp_path / str(hash(str(new.collect())))))
+        for rows_of_run in (old, new):
+            change = house.begin()
+            change.delete_insert("t", rows_of_run, "day", ["k"])
+            change.commit()
+        got = sorted(map(str, house.read("t").select("k", "day", "v").collect()))
         assert got == sorted(map(str, incremental.delete_insert(old, new, "day", ["k"]).select("k", "day", "v").collect()))
 
 
@@ -190,14 +193,18 @@ def test_merge_partitions_equals_delete_insert_and_leaves_other_files(spark, row
     schema = "id int, v int, day string"
     old = rows([(1, 1, "d1"), (2, 1, "d2"), (3, 1, "d3"), (4, 1, "d1"), (5, 1, "d3")], schema)
     new = rows([(1, 2, "d1"), (3, 2, "d9")], schema)
-    path = str(tmp_path / "t")
-    incremental.write_partitions(old, path, "day")
-    untouched = sorted(p.name for p in (tmp_path / "t" / "day=d2").iterdir())
+    house = versions.Warehouse(spark, str(tmp_path))
+    first = house.begin()
+    first.replace("t", old, ["day"])
+    first.commit()
+    untouched = [f for f in house.table("t").folders if f.endswith("day=d2")]
     want = sorted(map(tuple, incremental.delete_insert(old, new, "day", ["id"]).collect()))
     for _ in range(2):
-        incremental.merge_partitions(spark, path, new, "day", ["id"])
-        assert sorted(map(tuple, spark.read.schema(schema).parquet(path).collect())) == want
-    assert sorted(p.name for p in (tmp_path / "t" / "day=d2").iterdir()) == untouched
+        change = house.begin()
+        change.delete_insert("t", new, "day", ["id"])
+        change.commit()
+        assert sorted(map(tuple, house.read("t").collect())) == want
+    assert [f for f in house.table("t").folders if f.endswith("day=d2")] == untouched
 
 
 def _files(rows, checksum):
@@ -250,7 +257,24 @@ def test_assertions_find_what_is_broken(rows):
     assert {r.v for r in assertions.as_accepted_values(df, "v", ["A", "B"]).collect()} == {"C"}
     parent = rows([(2,)], "id int")
     assert [tuple(r) for r in assertions.as_relationships(df, "k", parent, "id").collect()] == [(1, 2)]
-    assert assertions.orphan_rows(df, "k", parent, "id").count() == 2
+
+
+def test_a_suite_scans_each_model_once(spark, rows, tmp_path):
+    child = rows([(1, "A", 5.0, 1), (1, "B", -1.0, None), (2, "C", None, 2), (None, "A", 2.0, 9), (7, None, -3.0, 9)], "k int, v string, x double, p bigint")
+    parent = rows([(1, 1), (2, 2), (2, 2), (None, 3)], "id int, other int")
+    for name, df in (("child", child), ("parent", parent)):
+        df.write.parquet(str(tmp_path / name))
+    models_ = {name: spark.read.parquet(str(tmp_path / name)) for name in ("child", "parent")}
+    a = assertions
+    checks = [
+        a.not_null("child", "k"), a.not_null("child", "x"), a.not_null("parent", "other"), a.non_negative("child", "x"), a.unique("child", "k"), a.unique("child", "k", "v"),
+        a.unique("parent", "id", "other"), a.accepted("child", "v", ["A", "B"]), a.related("child", "k", "parent", "id"), a.related("child", "p", "parent", "other"), a.related("child", "p", "child", "k"),
+    ]
+    got = a.suite(models_, checks)
+    assert [tuple(r) for r in got.collect()] == [(c.model, c.test, c.name(), n) for c, n in zip(checks, [1, 1, 0, 2, 1, 0, 1, 1, 1, 2, 2])]
+    assert plan_of(a.suite(models_, checks)).count("FileScan") == 2
+    empty = {name: df.where("false") for name, df in models_.items()}
+    assert {r.failures for r in a.suite(empty, checks).collect()} == {0}
 
 
 def test_route_mart_never_fans_out(spark, rows):

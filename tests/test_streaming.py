@@ -7,7 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.sources.messages import MESSAGE_SCHEMA, read_messages, to_messages
+from skyledger.sources.messages import MESSAGE_SCHEMA, read_messages, to_messages, with_offsets
 from skyledger.streaming import envelope, landing
 from skyledger.streaming.reconcile import st_reconcile
 
@@ -103,6 +103,85 @@ def test_a_new_checkpoint_keeps_what_was_landed(spark, messages, tmp_path):
     assert counts(spark, root) == (6, 3, 1, 2)
 
 
+def _files(spark, messages, inbox, first, last, each=2):
+    """One file for each few messages, in order."""
+    for n in range(first, last):
+        messages([message(each * n + k) for k in range(each)]).coalesce(1).write.mode("append").parquet(inbox)
+
+
+def test_a_batch_reads_nothing_that_its_stream_has_landed(spark, messages, tmp_path, monkeypatch):
+    """Files read by the comparison of each of many batches: none, however many were landed before."""
+    inbox, root, read = str(tmp_path / "in"), str(tmp_path / "out"), []
+    data = [message(n // 2 if n % 2 else 1000 + n, event_id=f"e{n // 2}") for n in range(100)]
+    spark.createDataFrame(data, MESSAGE_SCHEMA).repartition(20).write.parquet(inbox)
+    plain = landing.read_landed
+
+    def counted(session, at, table, other_than=None):
+        df = plain(session, at, table, other_than)
+        if other_than is not None:
+            read.append(len(df.inputFiles()))
+        return df
+
+    monkeypatch.setattr(landing, "read_landed", counted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        landing.st_commit_batches(read_messages(spark, inbox, max_per_batch=1), f"{root}/cp", root)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(read) >= 40 and set(read) == {0}
+    monkeypatch.undo()
+    rows = landing.read_landed(spark, root, "raw_booking_events_stream")
+    assert rows.count() == rows.select("event_id").distinct().count() == 50
+    total = counts(spark, root)
+    assert total == (100, 50, 50, 0)
+    files = len(rows.inputFiles())
+    landing.compact(spark, root, keep=1, older_than=0)
+    after = landing.read_landed(spark, root, "raw_booking_events_stream")
+    assert after.count() == 50 and len(after.inputFiles()) < files and counts(spark, root) == total
+
+
+def test_the_first_delivery_of_a_batch_lands(spark, messages, tmp_path):
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "out")
+    messages([message(n, event_id=f"e{n % 3}") for n in range(30, 0, -1)]).repartition(4).write.parquet(inbox)
+    landing.st_commit_batches(read_messages(spark, inbox), f"{root}/cp", root)
+    assert landed(spark, root) == [("e0", 3), ("e1", 1), ("e2", 2)]
+
+
+def test_a_run_stops_after_so_many_messages_and_loses_none(spark, messages, tmp_path):
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "out")
+    _files(spark, messages, inbox, 0, 8)
+    taken = landing.st_commit_batches(read_messages(spark, inbox, max_per_batch=1), f"{root}/cp", root, max_events=6, idle_seconds=120)
+    first = len(landed(spark, root))
+    assert 6 <= taken <= first < 16
+    landing.st_commit_batches(read_messages(spark, inbox, max_per_batch=1), f"{root}/cp", root)
+    assert [o for _, o in sorted(landed(spark, root), key=lambda r: r[1])] == list(range(16))
+    assert counts(spark, root) == (16, 16, 0, 0)
+
+
+def test_a_run_stops_when_nothing_comes(spark, messages, tmp_path):
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "out")
+    _files(spark, messages, inbox, 0, 2)
+    for more in (0, 1):
+        if more:
+            _files(spark, messages, inbox, 2, 3)
+        assert landing.st_commit_batches(read_messages(spark, inbox), f"{root}/cp", root, max_events=1000, idle_seconds=2) == (2 if more else 4)
+    assert counts(spark, root) == (6, 6, 0, 0)
+
+
+def test_offsets_without_gaps_in_source_order(spark, rows):
+    data = [(i, "t" if i % 5 else "u", None if i % 11 == 0 else f"k{i % 7}", f"v{i}") for i in range(1, 400, 2)]
+    got = with_offsets(rows(data, "row_index bigint, topic string, key string, value string").repartition(5), block=10).collect()
+    assert len({(r.topic, r.key, r.partition) for r in got}) == len({(r.topic, r.key) for r in got})
+    groups: dict = {}
+    for r in sorted(got, key=lambda r: r.row_index):
+        groups.setdefault((r.topic, r.partition), []).append(r.kafka_offset)
+    assert len(groups) > 3 and all(g == list(range(len(g))) for g in groups.values())
+    start = spark.createDataFrame([("t", p, 100) for p in range(3)], "topic string, partition int, next_offset bigint")
+    later = with_offsets(rows(data, "row_index bigint, topic string, key string, value string"), block=10, start=start).collect()
+    assert sorted((r.row_index, r.kafka_offset + (100 if r.topic == "t" else 0)) for r in got) == sorted((r.row_index, r.kafka_offset) for r in later)
+
+
 def test_watermark_dedupe(spark, messages, tmp_path):
     inbox = str(tmp_path / "in")
     messages([message(1), message(2, event_id="e1"), message(3)]).write.parquet(inbox)
