@@ -4,7 +4,8 @@ Tokens are lower-cased words without surrounding punctuation; labels of document
 evidence: a token is toxic in a toxic document if it, or a start of it, is found in toxic training documents far more
 often than chance. The field has two states, weights for features of the token (the word, its starts and ends, its
 shape) and for transitions, and is fitted by maximum likelihood with exact forward-backward gradients on the driver, on
-at most ``sample_rows`` labelled rows of each class, chosen by a hash; that is the only part that does not see all rows.
+at most ``sample_rows`` labelled rows of each class that are no longer than ``sample_bytes``, chosen by a hash; that is the
+only part that does not see all rows. The curve below weighs them by the size of their class among all training labels.
 Scoring goes over whole texts: forward-backward gives each token's marginal, the marginals give three sums per document,
 and a logistic curve fitted on the same sample turns them into a score. Spans join neighbouring tokens whose marginal is
 at least one half, as code point offsets.
@@ -16,6 +17,7 @@ classes nothing is learned: scores are the share of toxic labels, or 0.
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,10 +28,13 @@ from pyspark.sql import functions as F
 from .common import documents, slices, text_sizes
 
 #: Labelled rows of each class that the model is fitted on, at most.
-SAMPLE_ROWS = 1_500
+SAMPLE_ROWS = 1_200
+#: Bytes of the longest of them: the sample takes at most ``2 * SAMPLE_ROWS * SAMPLE_BYTES`` bytes on the driver.
+SAMPLE_BYTES = 16_384
 ROUNDS = 20
-#: A token labels toxic documents if it is in so many of them, and in a share of them so many times the share of the others.
-LEAST, RATIO = 4, 16.0
+#: A token labels toxic documents if it is in so many of them, and in such a share of them, and in a share of them so many
+#: times the share of the others.
+LEAST, LEAST_SHARE, RATIO = 4, 0.01, 16.0
 STARTS, ENDS = (3, 4, 5, 6), (3, 4)
 _EDGE = ".,;:!?\"'()[]{}<>|*_-"
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
@@ -145,50 +150,85 @@ class Corpus:
     n_words: int
 
     @classmethod
-    def of(cls, docs: list[list[str]]) -> Corpus:
-        lengths = np.array([len(d) for d in docs], np.int64)
+    def of(cls, texts: list[str]) -> Corpus:
+        """Texts become numbers one by one; only distinct words and features are kept as strings."""
         ids: dict[str, int] = {}
-        flat = np.fromiter((ids.setdefault(w, len(ids)) for d in docs for w in d), np.int64, int(lengths.sum()))
+        parts = [np.fromiter((ids.setdefault(w, len(ids)) for w in words(t)), np.int32) for t in texts]
+        lengths = np.array([len(p) for p in parts], np.int64)
+        flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        del parts
         names: dict[str, int] = {}
-        found = [[names.setdefault(f, len(names)) for f in features(w)] for w in ids]
-        rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-        cols = np.fromiter((c for f in found for c in f), np.int64, len(rows))
-        return cls(flat, lengths, list(names), rows, cols, len(ids))
-
-    def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.lengths)), self.lengths)
-
-
-def token_labels(corpus: Corpus, toxic: np.ndarray, least: int = LEAST, ratio: float = RATIO) -> np.ndarray:
-    """Label the tokens of toxic documents whose word or start is found mostly in toxic ones."""
-    owner, n = corpus.owner(), np.maximum(np.bincount(toxic, minlength=2), 1)
+        count, cols = np.zeros(len(ids), np.int64), array("i")
+        for n, word in enumerate(ids):
+            found = features(word)
+            count[n] = len(found)
+            cols.extend(names.setdefault(f, len(names)) for f in found)
+        rows = np.repeat(np.arange(len(ids), dtype=np.int32), count)
+        return cls(flat, lengths, list(names), rows, np.frombuffer(cols, np.int32) if len(cols) else np.zeros(0, np.int32), len(ids))
+
+
+def token_labels(corpus: Corpus, toxic: np.ndarray, chosen: np.ndarray, least: int = LEAST, ratio: float = RATIO) -> np.ndarray:
+    """Label the tokens of the chosen toxic documents whose word or start is found mostly in toxic ones."""
+    n = np.maximum(np.bincount(toxic[chosen], minlength=2), 1)
     listed = np.array([f[0] in "wp" for f in corpus.names], bool)
     rows, cols = corpus.rows[listed[corpus.cols]], corpus.cols[listed[corpus.cols]]
-    # each pair of document and word once, then each pair of document and feature once
-    pair = np.unique(owner * corpus.n_words + corpus.flat)
-    doc, word = np.divmod(pair, max(corpus.n_words, 1))
     begin = np.searchsorted(rows, np.arange(corpus.n_words + 1))
-    size = np.diff(begin)[word]
-    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[word], size)
-    pair = np.unique(np.repeat(doc, size) * len(listed) + cols[at])
-    doc, feature = np.divmod(pair, max(len(listed), 1))
-    bad = toxic[doc] == 1
-    seen = [np.bincount(feature[x], minlength=len(listed)) for x in (~bad, bad)]
-    strong = listed & (seen[1] >= least) & (seen[1] / n[1] > ratio * (seen[0] + 0.5) / n[0])
+    first = np.cumsum(corpus.lengths) - corpus.lengths
+    seen = np.zeros((2, len(listed)), np.int64)
+    for d in np.flatnonzero(chosen).tolist():
+        # the features of a document once each
+        word = np.unique(corpus.flat[first[d] : first[d] + corpus.lengths[d]])
+        size = begin[word + 1] - begin[word]
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[word], size)
+        seen[int(toxic[d]), np.unique(cols[place])] += 1
+    strong = listed & (seen[1] >= max(least, LEAST_SHARE * n[1])) & (seen[1] / n[1] > ratio * (seen[0] + 0.5) / n[0])
     verdict = np.bincount(rows, strong[cols], corpus.n_words) > 0
-    return verdict[corpus.flat] & (toxic[owner] == 1)
+    flat, lengths = _tokens(corpus, chosen)
+    return verdict[flat] & np.repeat(toxic[chosen] == 1, lengths)
 
 
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Maximum likelihood with a quadratic penalty; steps are scaled by what each weight has moved so far."""
+def fit(texts: list[str], toxic: np.ndarray, weight: np.ndarray | None = None, rounds: int = ROUNDS) -> Model:
+    """Maximum likelihood with a quadratic penalty; steps are scaled by what each weight has moved so far.
+
+    ``weight`` tells how many documents a text stands for: the curve over documents, and with it the threshold, keeps the
+    ratio of the classes that all labels have, whatever share of each class is in the sample.
+    """
     model = Model()
     if not len(toxic) or toxic.min() == toxic.max():
-        share = float(toxic.mean()) if len(toxic) else 0.0
+        share = float(toxic.mean()) if len(toxic) else 0.0  # one class at most
         model.curve = (float(np.log((share + 1e-6) / (1 - share + 1e-6))), 0.0, 0.0, 0.0)
         return model
-    corpus = Corpus.of([words(t) for t in texts])
-    flat, lengths, rows, cols = corpus.flat, corpus.lengths, corpus.rows, corpus.cols
-    y = token_labels(corpus, toxic).astype(float)
+    corpus = Corpus.of(texts)
+    weight = np.ones(len(toxic)) if weight is None else weight
+    # the curve must know what a text that the field has not seen looks like, so each half is read by a field of the other
+    half = np.arange(len(toxic)) % 2
+    seen = np.zeros((len(toxic), 3))
+    for h in (0, 1):
+        w, trans = _field(corpus, toxic, half != h, rounds)
+        seen[half == h] = _evidence(corpus, w, trans, half == h)
+    w, model.transition = _field(corpus, toxic, np.ones(len(toxic), bool), rounds)
+    model.bias = float(w[-1])
+    model.weights = {f: float(x) for f, x in zip(corpus.names, w, strict=False) if abs(x) > 1e-2}
+    model.curve = _curve(seen, toxic, weight)
+    return model
+
+
+def _tokens(corpus: Corpus, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers and lengths of the chosen documents."""
+    return corpus.flat[np.repeat(chosen, corpus.lengths)], corpus.lengths[chosen]
+
+
+def _evidence(corpus: Corpus, w: np.ndarray, trans: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    flat, lengths = _tokens(corpus, chosen)
+    emission = np.bincount(corpus.rows, w[corpus.cols], corpus.n_words) + w[-1]
+    return evidence(marginals(emission[flat], lengths, trans), lengths)
+
+
+def _field(corpus: Corpus, toxic: np.ndarray, chosen: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of all features and the bias, and transitions, fitted on the chosen documents."""
+    rows, cols = corpus.rows, corpus.cols
+    flat, lengths = _tokens(corpus, chosen)
+    y = token_labels(corpus, toxic, chosen).astype(float)
     first = np.cumsum(lengths) - lengths
     follows = np.ones(len(flat), bool)
     follows[first[lengths > 0]] = False
@@ -208,11 +248,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = ROUNDS) -> Model:
         turn = (seen_pairs - expected) / 50 - 0.02 * trans
         trans_moved += turn**2
         trans += 0.3 * turn / np.sqrt(trans_moved)
-    model.bias, model.transition = float(w[-1]), trans
-    model.weights = {f: float(x) for f, x in zip(corpus.names, w, strict=False) if abs(x) > 1e-2}
-    emission = np.bincount(rows, w[cols], corpus.n_words) + w[-1]
-    model.curve = _curve(evidence(marginals(emission[flat], lengths, trans), lengths), toxic)
-    return model
+    return w, trans
 
 
 def evidence(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -227,37 +263,44 @@ def evidence(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.stack([top, np.log1p(total), np.log1p(1_000 * total / np.maximum(lengths, 1))], axis=1)
 
 
-def _curve(x: np.ndarray, toxic: np.ndarray, rounds: int = 30) -> tuple[float, ...]:
-    """Logistic regression by Newton's steps."""
+def _curve(x: np.ndarray, toxic: np.ndarray, weight: np.ndarray, rounds: int = 30) -> tuple[float, ...]:
+    """Weighted logistic regression by Newton's steps."""
     x = np.hstack([np.ones((len(x), 1)), x])
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = x.T @ (x * (p * (1 - p))[:, None]) + 0.05 * np.eye(len(w))
-        w += np.linalg.solve(h, x.T @ (toxic - p) - 0.05 * w)
+        h = x.T @ (x * (weight * p * (1 - p))[:, None]) + 0.05 * np.eye(len(w))
+        w += np.linalg.solve(h, x.T @ (weight * (toxic - p)) - 0.05 * w)
     return tuple(float(v) for v in w)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """At most ``sample_rows`` labelled rows of each class, by a hash of the id, without the held-out fifth."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """(doc_id, text, toxic, total): at most ``sample_rows`` labelled rows of each class by a hash, and the size of the class.
+
+    The held-out fifth teaches nothing, rows longer than ``sample_bytes`` are left to scoring, and equal rows count once.
+    """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     marked = marked.where("doc_id is not null and toxic in (0, 1)").where(~held_out("doc_id"))
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    present = marked.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    few = [present.where(F.col("toxic") == y).orderBy(*order).limit(sample_rows) for y in (0, 1)]
-    chosen = few[0].unionByName(few[1])
-    return documents(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    texts = documents(docs).withColumn("text_key", F.xxhash64("text"))
+    known = texts.select("doc_id", "text_key", F.octet_length("text").alias("size")).join(marked, "doc_id").distinct()
+    order = (F.xxhash64("doc_id", "text_key"), F.col("doc_id"), F.col("text_key"))
+    totals = known.groupBy("toxic").agg(F.count(F.lit(1)).alias("total"))
+    few = [known.where((F.col("toxic") == y) & (F.col("size") <= sample_bytes)).orderBy(*order).limit(sample_rows) for y in (0, 1)]
+    chosen = few[0].unionByName(few[1]).drop("size").join(F.broadcast(totals), "toxic")
+    found = texts.join(F.broadcast(chosen), ["doc_id", "text_key"])
+    return found.groupBy("doc_id", "text_key", "toxic", "total").agg(F.first("text").alias("text")).select("doc_id", "text", "toxic", "total")
 
 
 def held_out(column: str):
     return F.crc32(F.col(column).cast("string")) % 5 == 0
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    rows = {(r.doc_id, r.text): r.toxic for r in training_rows(docs, labels, sample_rows).collect()}
-    kept = sorted(rows.items(), key=lambda r: r[0])
-    return fit([t for (_, t), _ in kept], np.array([y for _, y in kept], np.int64))
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    found = training_rows(docs, labels, sample_rows, sample_bytes).toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    toxic = found.column("toxic").to_numpy().astype(np.int64)
+    weight = found.column("total").to_numpy() / np.maximum(np.bincount(toxic, minlength=2), 1)[toxic]
+    return fit(found.column("text").to_pylist(), toxic, weight)
 
 
 class Scorer:
