@@ -252,6 +252,9 @@ class Tables:
 
     @stored("quarantine")
     def quarantine(self) -> DataFrame:
+        return self.quarantine_rows()
+
+    def quarantine_rows(self) -> DataFrame:
         out = None
         for checked in (self.checked_bookings, self.checked_payments):
             rows = checked.quarantine.drop("k", "dup")
@@ -288,6 +291,9 @@ class Tables:
 
     @stored("metadata")
     def report(self) -> DataFrame:
+        return self.report_rows()
+
+    def report_rows(self) -> DataFrame:
         return quality.quality_report(self.file_profiles, [self.checked_bookings, self.checked_payments])
 
     @cached_property

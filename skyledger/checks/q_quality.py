@@ -61,12 +61,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     valid = rules.valid_rows(t.payments, quality.payment_rules())
-    kept, orphaned = quality.split_orphans(valid, t.checked_bookings.valid, "booking_id")
-    columns = ["row_number", "booking_id"]
-    return (
-        kept.select(*columns, F.lit("kept").alias("outcome"))
-        .unionByName(orphaned.select(*columns, F.lit("orphaned").alias("outcome")))
-    )
+    found = quality.with_parent(valid, t.checked_bookings.valid, "booking_id")
+    return found.select("row_number", "booking_id", F.when(F.col("has_parent"), "kept").otherwise("orphaned").alias("outcome"))
 
 
 @register(
@@ -147,7 +143,7 @@ from outcomes""",
     prof_p=_PROFILE_P,
 )
 def _(t: Tables):
-    return t.report.select(
+    return t.report_rows().select(
         "source_name", "row_count", "file_size_bytes", "valid_rows", "quarantined_rows", "record_error_rows",
         F.array_join("missing_columns", ",").alias("missing"), "status",
         F.get_json_object("quality_profile", "$.dirty_standardization_rows").cast("bigint").alias("dirty_rows"),
@@ -188,7 +184,7 @@ def _(t: Tables):
     raw = F.coalesce(
         F.get_json_object("raw_record", "$.ticket_price"), F.get_json_object("raw_record", "$.amount")
     )
-    return t.quarantine.select(
+    return t.quarantine_rows().select(
         "quarantine_id", "run_id", "source_name", "row_number", "record_key", "reason", raw.alias("raw_value")
     )
 

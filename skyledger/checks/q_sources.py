@@ -54,14 +54,20 @@ def _(t: Tables):
     )
 
 
+#: The columns that the flights of the fixtures have; all others of the allow-list are NULL.
+_HELD = """FlightDate Reporting_Airline Flight_Number_Reporting_Airline Origin Dest DepDelayMinutes ArrDelayMinutes Cancelled Diverted Distance
+ CarrierDelay WeatherDelay NASDelay SecurityDelay LateAircraftDelay""".split()
+
+
+_NULL = "null"
+
+
 @register(
     "src_project_rename",
-    """select null::varchar as year, FlightDate as flight_date, Reporting_Airline as reporting_airline, Origin as origin, Dest as dest,
- DepDelayMinutes::varchar as dep_delay_minutes, Distance::varchar as distance, null::varchar as tail_number from flights""",
+    f"select {', '.join(f'{old if old in _HELD else _NULL}::varchar as {new}' for old, new in schemas.FLIGHT_COLUMNS.items())}, null::varchar as not_in_the_source from flights",
 )
 def _(t: Tables):
-    wanted = ["year", "flight_date", "reporting_airline", "origin", "dest", "dep_delay_minutes", "distance", "tail_number"]
-    return files.project_raw(t.flights, schemas.FLIGHT_COLUMNS, wanted)
+    return files.project_raw(t.flights.withColumn("Extra", F.lit("x")), schemas.FLIGHT_COLUMNS, [*schemas.FLIGHT_COLUMNS.values(), "not_in_the_source"])
 
 
 @register(

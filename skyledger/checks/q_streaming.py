@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import work_folder
-from ..sources.messages import BOOKING_TOPIC, read_messages
+from ..sources.messages import read_messages
 from ..streaming import landing
 from ..streaming.envelope import BOOKING, st_build_envelope
 from ..streaming.reconcile import st_table_counts
@@ -89,11 +89,15 @@ def _(t: Tables):
 
 @register(
     "st_route_topic",
-    f"select {_EVENT_SQL}, payload_k from env where error_type is null and kafka_topic='booking_events'",
+    f"select {_EVENT_SQL}, payload_k, case kafka_topic when 'booking_events' then 'raw_booking_events_stream' else 'raw_payment_events_stream' end as landing_table from env where error_type is null",
 )
 def _(t: Tables):
-    k = F.get_json_object("payload", "$.k").alias("payload_k")
-    return landing.st_route_topic(t.envelopes, BOOKING_TOPIC).select(*_EVENT, k)
+    """The events of each topic under the table that they go to."""
+    k, out = F.get_json_object("payload", "$.k").alias("payload_k"), None
+    for topic, table in landing.STREAM_TABLES.items():
+        one = landing.st_route_topic(t.envelopes, topic).select(*_EVENT, k, F.lit(table).alias("landing_table"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @register("st_idempotent_land", f"select {_EVENT_SQL}, payload_k from landed")

@@ -77,9 +77,11 @@ def duplicate_event(df: DataFrame, key: str, message: str) -> DataFrame:
     )
 
 
-def split_orphans(child: DataFrame, parent: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Child rows with and without a parent of the same normalised key."""
-    return kept(child, parent, key), orphans(child, parent, key)
+def with_parent(child: DataFrame, parent: DataFrame, key: str, name: str = "has_parent") -> DataFrame:
+    """Child rows with whether a parent of the same normalised key exists: one join where both sorts of rows are wanted."""
+    known = parent.select(_token(key).alias("_parent")).distinct().withColumn("_known", F.lit(True))
+    found = key_lookup(child.withColumn("_parent", _token(key)), known, "_parent", "left")
+    return found.withColumn(name, F.col("_known").isNotNull()).drop("_parent", "_known")
 
 
 def kept(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
