@@ -90,6 +90,19 @@ def read_landed(spark: SparkSession, root: str, table: str, other_than: str | No
     return house.read(table, where=None if other_than is None else lambda part: part != f"stream={other_than}")
 
 
+def progress(spark: SparkSession, root: str) -> dict[str, int]:
+    """The last batch of each stream that is committed now; kept at the start of a run, it tells what the run lands."""
+    return Warehouse(spark, root).manifest()[1]["progress"]
+
+
+def landed_since(spark: SparkSession, root: str, table: str, since: dict[str, int]) -> DataFrame:
+    """The rows of a landing table that were committed after ``since``."""
+    before = F.lit(False)
+    for stream, batch in since.items():
+        before = before | ((F.col("stream") == stream) & (F.col("batch_id") <= batch))
+    return read_landed(spark, root, table).where(~before)
+
+
 def _append(change: Transaction, table: str, rows: DataFrame, batch_id: int, stream: str) -> int:
     """Add the rows of a batch to a table; their number, from the footers of what was written."""
     names = [name.split(" ")[0] for name in _schema(table).split(", ")]

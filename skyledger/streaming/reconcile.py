@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import md5_id
 from ..plans.reports import table_counts
+from .envelope import STREAM_TABLES
+from .landing import COUNTS_TABLE, DLQ_TABLE, landed_since
 
 
 def st_table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -51,3 +55,14 @@ def st_reconcile(
         )
         .withColumn("reconciliation_id", md5_id("run_id", "topic_name"))
     )
+
+
+def st_reconcile_run(spark: SparkSession, root: str, produced: DataFrame, since: dict[str, int], run_id: str) -> DataFrame:
+    """The same for what one run landed: events, dead letters by topic, and duplicates since the progress at its start.
+
+    Earlier runs do not count, so a run that loses messages cannot hide behind what others have landed.
+    """
+    tables = [landed_since(spark, root, table, since).select("kafka_topic") for table in STREAM_TABLES.values()]
+    landed = reduce(DataFrame.unionByName, tables)
+    counts = landed_since(spark, root, COUNTS_TABLE, since).agg(F.coalesce(F.sum("duplicates"), F.lit(0))).first()[0]
+    return st_reconcile(produced, landed, landed_since(spark, root, DLQ_TABLE, since), run_id, counts, per_topic_dlq=True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.sources.messages import MESSAGE_SCHEMA, read_messages, to_messages, with_offsets
 from skyledger.streaming import envelope, landing
-from skyledger.streaming.reconcile import st_reconcile
+from skyledger.streaming.reconcile import st_reconcile, st_reconcile_run
 
 
 def message(offset, topic="booking_events", raw=None, **change):
@@ -169,6 +169,17 @@ def test_a_run_stops_when_nothing_comes(spark, messages, tmp_path):
     assert counts(spark, root) == (6, 6, 0, 0)
 
 
+def test_a_run_is_reconciled_by_what_it_landed(spark, messages, rows, tmp_path):
+    root = str(tmp_path)
+    landing.land_batch(messages([message(n) for n in range(8)]), 0, root)
+    since = landing.progress(spark, root)
+    landing.land_batch(messages([message(20), message(21, event_id="e1"), message(22, raw="{bad"), message(23, topic="payment_events")]), 1, root)
+    produced = rows([("booking_events", 6), ("payment_events", 1)], "topic_name string, produced_events bigint")
+    got = {r.topic_name: (r.consumed_events, r.dlq_events, r.duplicate_events, r.status) for r in st_reconcile_run(spark, root, produced, since, "r").collect()}
+    assert got == {"booking_events": (1, 1, 1, "FAILED"), "payment_events": (1, 0, 1, "PASSED")}
+    assert st_reconcile_run(spark, root, produced, landing.progress(spark, root), "r").first().consumed_events == 0
+
+
 def test_offsets_without_gaps_in_source_order(spark, rows):
     data = [(i, "t" if i % 5 else "u", None if i % 11 == 0 else f"k{i % 7}", f"v{i}") for i in range(1, 400, 2)]
     got = with_offsets(rows(data, "row_index bigint, topic string, key string, value string").repartition(5), block=10).collect()
