@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import audit, quality, rules
@@ -150,6 +151,32 @@ def _(t: Tables):
     )
 
 
+@register(
+    "dq_several_files",
+    """select file_path, case when (k, dup) in (select (k, dup) from b_valid) then 'valid' else 'quarantined' end as outcome, count(*) as n, sum(number)::bigint as numbers from parts group by 1, 2
+ union all select file_path, 'repeated', count(*), sum(number)::bigint from (select *, row_number() over (partition by rk order by file_path, number) as nth from parts where trim(booking_id)<>'') z where nth>1 group by 1
+ union all select file_path, 'reconciled', count(*), sum(case when (k, dup) in (select (k, dup) from b_valid) then 1 else 0 end)::bigint from parts group by 1""",
+    parts="select k, dup, booking_id, rk, 'landing/bookings/part-'||(k%4)||'.csv' as file_path, row_number() over (partition by k%4 order by k, dup)+1 as number from b_keyed",
+)
+def _(t: Tables):
+    """Four files whose records are numbered anew in each: what is valid, quarantined and repeated, told apart by file and number."""
+    number = F.row_number().over(Window.partitionBy("file_path").orderBy("k", "dup")) + 1
+    named = t.bookings.withColumn("file_path", F.concat(F.lit("landing/bookings/part-"), F.col("k") % 4, F.lit(".csv")))
+    rows = written(named.withColumn("row_number", number.cast("bigint")), "several-files")
+    checked = quality.validate_bookings(rows)
+    again = quality.duplicate_event(rows, "booking_id", "again")
+    out = None
+    for df, outcome in ((checked.valid, "valid"), (checked.quarantine, "quarantined"), (again, "repeated")):
+        one = df.groupBy("file_path").agg(F.lit(outcome).alias("outcome"), F.count(F.lit(1)).alias("n"), F.sum("row_number").alias("numbers"))
+        out = one if out is None else out.unionByName(one)
+    report = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("bookings").alias("source_name"), "file_path", "row_count", F.lit(0).alias("quarantined_rows"), F.col("row_count").alias("valid_rows")
+    )
+    counts = audit.file_counts(checked.valid, "bookings", "raw.raw_bookings")
+    found = audit.reconcile(report, counts, RUN_ID, by=("source_name", "file_path"))
+    return out.unionByName(found.select("file_path", F.lit("reconciled").alias("outcome"), F.col("source_file_rows").alias("n"), F.col("actual_raw_rows").alias("numbers")))
+
+
 # Persisting ------------------------------------------------------------------------------------------
 
 
