@@ -67,11 +67,11 @@ def ordered(rows):
     return sorted(map(tuple, rows), key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("entries, owner_rows", [(256, 100_000), (7, 10)])
-def test_codes(odd_table, entries, owner_rows):
-    df = odd_table if entries == 256 else odd_table.where("size(embedding) in (6, 8)")
-    got = codes.compress(df, entries=entries, owner_rows=owner_rows).collect()
-    assert ordered(got) == ordered(plain_codes(kept(df), entries))
+@pytest.mark.parametrize("lengths, entries, owner_rows, rounds", [((0, 1, 5), 256, 100_000, 1), ((8,), 7, 10, 3)])
+def test_codes(odd_table, lengths, entries, owner_rows, rounds):
+    df = odd_table.where(f"embedding is null or size(embedding) in ({', '.join(map(str, lengths))})")
+    got = codes.compress(df, entries=entries, owner_rows=owner_rows, rounds=rounds).collect()
+    assert ordered(got) == ordered(plain_codes(kept(df), entries, rounds))
 
 
 def test_codes_of_the_given_vectors(spark):
@@ -91,7 +91,7 @@ def test_members_that_stay_are_not_shuffled(spark):
 def test_codes_of_nothing_and_of_unlabelled_vectors(spark, odd_table):
     none = codes.compress(odd_table.where("false"))
     assert none.collect() == [] and none.columns == ["vec_id", "label", "code", "error", "label_error", "codebooks_sha256"]
-    bare = codes.compress(odd_table.where("size(embedding) = 6").drop("label")).collect()
+    bare = codes.compress(odd_table.where("size(embedding) = 6").drop("label"), rounds=1).collect()
     assert len(bare) == 30 and {r.label for r in bare} == {None} and len({r.label_error for r in bare}) == 1
 
 
