@@ -60,7 +60,7 @@ os._exit(9) if sys.argv[1] == "die" else change.commit("load")
         want = [(1, "a", 1), (2, "b", 1)] if fate == "die" else [(1, "a", 1), (9, "b", 9)]
         assert rows_of(house.read("t")) == want
     assert house.versions() == [1, 2]
-    assert house.vacuum(keep=1, older_than=0) >= 2 and house.versions() == [2]
+    assert house.vacuum(keep=1, older_than=0) >= 1 and house.versions() == [2]
     assert rows_of(house.read("t")) == [(1, "a", 1), (9, "b", 9)]
 
 
