@@ -24,7 +24,7 @@ HEADLINE = [
     "dq_error_log", "dq_split_valid_invalid", "dq_duplicate_event", "dq_relationship_missing",
     "dq_profile_bookings", "dq_profile_payments", "dq_report", "dq_persist_errors", "dq_persist_quarantine",
     "ld_checksum_skip", "ld_audit", "ld_slice_replace", "up_do_update", "up_do_nothing", "inc_delete_insert",
-    "rc_source_to_raw", "as_unique", "as_relationships", "as_suite", "fact_booking_upkeep", "ld_load_files", "rq_top_routes", "rq_orphans", "rq_stream_counts",
+    "rc_source_to_raw", "as_unique", "as_relationships", "as_suite", "ld_load_files", "rq_top_routes", "rq_orphans", "rq_stream_counts",
     "src_csv_records", "src_row_number", "src_file_profile", "sink_table", "sink_stream_messages", "st_build_envelope", "st_validate_envelope", "st_idempotent_land",
     "inj_duplicate",
 ]

@@ -105,12 +105,19 @@ def _(t: Tables):
     return models.fact_booking(t.stg_bookings, _earlier_fact(t))
 
 
+_kept: dict[tuple[str, str], str] = {}
+
+
 def _kept_up(t: Tables) -> Warehouse:
     """The booking tables after three runs: half of the originals, all rows again with later versions, and the same once more."""
+    slot = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if slot in _kept:
+        return Warehouse(t.spark, _kept[slot])
     house = Warehouse(t.spark, work_folder(t.spark, "upkeep"))
     runs = (("first", "dup = 0 and k % 2 = 0"), ("second", "true"), ("second", "true"), ("third", "true"))
     for label, rows in runs:
-        upkeep.refresh_bookings(house, t.raw_bookings.where(rows), "60 days", label)
+        upkeep.refresh_bookings(house, t.raw_bookings.where(rows), "60 days", label, buckets=8)
+    _kept[slot] = house.root
     return house
 
 

@@ -72,8 +72,13 @@ def _as(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema])
 
 
-def refresh_bookings(house: Warehouse, raw_bookings: DataFrame, lateness: str = "3 days", label: str | None = None) -> int:
-    """Bring fact, sales mart and the tables by customer up to the raw bookings; the number of versions that were new."""
+def refresh_bookings(
+    house: Warehouse, raw_bookings: DataFrame, lateness: str = "3 days", label: str | None = None, buckets: int = BUCKETS
+) -> int:
+    """Bring fact, sales mart and the tables by customer up to the raw bookings; the number of versions that were new.
+
+    ``buckets`` is fixed by the first run.
+    """
     if label is not None and house.holds(label):
         return 0
     change, spark = house.begin(), house.spark
@@ -82,10 +87,10 @@ def refresh_bookings(house: Warehouse, raw_bookings: DataFrame, lateness: str =
     fresh = written(keep_latest(clean, ["booking_id"], staging.VERSION_ORDER), "fresh-bookings")
     plain = staging.current_bookings(fresh).drop("loaded_at")
     if change.table(VERSIONS) is None:
-        change.create(VERSIONS, fresh.schema, ["booking_id"], BUCKETS)
-        change.create(CUSTOMER_DAYS, customer_days(plain).schema, ["customer_id"], BUCKETS)
-        change.create(CUSTOMERS, models.dim_customer(plain).schema, ["customer_id"], BUCKETS)
-        change.create(CUSTOMER_BOOKINGS, models.int_customer_booking(plain).schema, ["customer_id"], BUCKETS)
+        change.create(VERSIONS, fresh.schema, ["booking_id"], buckets)
+        change.create(CUSTOMER_DAYS, customer_days(plain).schema, ["customer_id"], buckets)
+        change.create(CUSTOMERS, models.dim_customer(plain).schema, ["customer_id"], buckets)
+        change.create(CUSTOMER_BOOKINGS, models.int_customer_booking(plain).schema, ["customer_id"], buckets)
         change.replace(FACT, plain.limit(0), ["flight_date"])
         change.replace(SALES, marts.mart_sales_performance(plain.limit(0)), ["flight_date"])
     changed = _changed(change, fresh)
