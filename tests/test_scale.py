@@ -30,3 +30,17 @@ def test_stored_projections_are_written_without_a_shuffle(spark, monkeypatch):
     assert t.payments.count() == t.bookings.count() >= t.raw_bookings.count()
     assert set(seen) == {"flights", "raw_flights", "payments", "bookings", "raw_bookings"}
     assert [name for name, plan in seen.items() if "Exchange" in plan] == []
+
+
+def test_a_suite_stores_only_the_tables_of_its_models(spark, monkeypatch):
+    seen = _writes(monkeypatch)
+    used = {c.model for c in q_models._ACCEPTED}
+    assert set(q_models._models(Tables(spark, SF_DIR), used)) == used
+    assert set(seen) == {"bookings", "raw_bookings"}
+
+
+def test_a_suite_shuffles_each_value_once(rows):
+    models = {"child": rows([(1, 2), (1, 3), (5, 3)], "k int, p int"), "parent": rows([(2, 1), (2, 1)], "id int, k int")}
+    checks = [a.unique("child", "k"), a.accepted("child", "k", ["1"]), a.related("child", "p", "parent", "id"), a.related("child", "k", "parent", "k"), a.unique("parent", "id"), a.unique("child", "p")]
+    assert [r.failures for r in a.suite(models, checks).collect()] == [1, 1, 2, 1, 1, 1]
+    assert plan_of(a.suite(models, checks)).count("Exchange hashpartitioning") == 1
