@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import audit, quality, rules
@@ -151,6 +151,21 @@ def _(t: Tables):
     )
 
 
+def numbered(named: DataFrame, block: int = 20_000) -> DataFrame:
+    """Number the bookings of each file in order of ``k`` and ``dup``, from 2 on.
+
+    Bookings are counted by file and block of ``k``, a running sum over the blocks of a file gives the number that each
+    block starts at, and a booking adds its place within its block: no task sorts a whole file.
+    """
+    placed, group = named.withColumn("_block", F.expr(f"k div {block}")), ["file_path", "_block"]
+    counts = written(placed.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")), "numbers")
+    before = Window.partitionBy("file_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("k", "dup"))
+    found = placed.withColumn("_place", place).join(starts, group)
+    return found.withColumn("row_number", F.col("_start") + F.col("_place") + 1).select(*named.columns)
+
+
 @register(
     "dq_several_files",
     """select file_path, case when (k, dup) in (select (k, dup) from b_valid) then 'valid' else 'quarantined' end as outcome, count(*) as n, sum(number)::bigint as numbers from parts group by 1, 2
@@ -160,9 +175,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """Four files whose records are numbered anew in each: what is valid, quarantined and repeated, told apart by file and number."""
-    number = F.row_number().over(Window.partitionBy("file_path").orderBy("k", "dup")) + 1
     named = t.bookings.withColumn("file_path", F.concat(F.lit("landing/bookings/part-"), F.col("k") % 4, F.lit(".csv")))
-    rows = written(named.withColumn("row_number", number.cast("bigint")), "several-files")
+    rows = written(numbered(named), "several-files")
     checked = quality.validate_bookings(rows)
     again = quality.duplicate_event(rows, "booking_id", "again")
     out = None

@@ -44,3 +44,14 @@ def test_a_suite_shuffles_each_value_once(rows):
     checks = [a.unique("child", "k"), a.accepted("child", "k", ["1"]), a.related("child", "p", "parent", "id"), a.related("child", "k", "parent", "k"), a.unique("parent", "id"), a.unique("child", "p")]
     assert [r.failures for r in a.suite(models, checks).collect()] == [1, 1, 2, 1, 1, 1]
     assert plan_of(a.suite(models, checks)).count("Exchange hashpartitioning") == 1
+
+
+def test_records_of_several_files_are_numbered_by_block(spark):
+    from skyledger.checks.q_quality import numbered
+
+    rows = spark.range(400).selectExpr("id * 7919 % 100003 as k", "cast(id % 2 as int) as dup", "concat('f', id % 3) as file_path", "-1L as row_number")
+    want = rows.drop("row_number").selectExpr("*", "row_number() over (partition by file_path order by k, dup) + 1 as row_number")
+    got = numbered(rows, block=10_000)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    # every sort of rows is one of a file's block; only counts are gathered by file
+    assert all("_block" in line for line in plan_of(got).splitlines() if "row_number()" in line and "Window [" in line)
