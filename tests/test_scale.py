@@ -55,3 +55,27 @@ def test_records_of_several_files_are_numbered_by_block(spark):
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
     # every sort of rows is one of a file's block; only counts are gathered by file
     assert all("_block" in line for line in plan_of(got).splitlines() if "row_number()" in line and "Window [" in line)
+
+
+def test_new_versions_meet_the_narrow_current_ones_in_one_join(spark, monkeypatch):
+    from skyledger.plans import upkeep
+
+    plans, order = [], ["a", "b"]
+    versions = [None, 1, 2]
+    pairs = [(p, q, r, s) for p in versions for q in versions for r in versions for s in versions]
+    df = spark.createDataFrame(pairs, "a int, b int, _old_a int, _old_b int")
+    top = [9 if x is None else x for x in versions]
+    rank = dict(zip(versions, top))
+    for r in df.withColumn("later", upkeep._later(order)).collect():
+        assert r.later == ((rank[r.a], rank[r.b]) > (rank[r._old_a], rank[r._old_b])), r
+
+    class Held:
+        def read_keys(self, name, fresh):
+            return fresh.where("booking_id = 'x'").withColumn("row_number", F.col("row_number") - 1)
+
+    fresh = spark.createDataFrame([("x", 5, "d", "c", "n"), ("y", 1, "d", "c", "n")], "booking_id string, row_number int, flight_date string, customer_id string, note string")
+    fresh = fresh.withColumns({"updated_at": F.lit(1), "loaded_at": F.lit(None).cast("int")})
+    monkeypatch.setattr(upkeep, "written", lambda df, purpose: plans.append(plan_of(df)) or df)
+    got = {r.booking_id: (r._known, r._old_date) for r in upkeep._changed(Held(), fresh).collect()}
+    assert got == {"x": (True, "d"), "y": (None, None)}
+    assert "Window" not in plans[0]
