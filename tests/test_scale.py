@@ -79,3 +79,16 @@ def test_new_versions_meet_the_narrow_current_ones_in_one_join(spark, monkeypatc
     got = {r.booking_id: (r._known, r._old_date) for r in upkeep._changed(Held(), fresh).collect()}
     assert got == {"x": (True, "d"), "y": (None, None)}
     assert "Window" not in plans[0]
+
+
+def test_the_number_of_csv_splits_is_bounded(spark, tmp_path, monkeypatch):
+    from skyledger.checks import q_sources
+
+    folder = str(tmp_path / "notes")
+    spark.range(60_000).selectExpr("id", "repeat('x', 20) as note").coalesce(1).write.option("header", True).csv(folder)
+    rows = spark.read.text(folder).count()
+    monkeypatch.setattr(q_sources, "_SPLIT_BYTES", 1 << 10)
+    monkeypatch.setattr(q_sources, "_SPLITS", 20)
+    read = q_sources._split_session(Tables(spark, SF_DIR), folder).read.text(folder)
+    assert read.count() == rows
+    assert 10 <= read.rdd.getNumPartitions() <= 22
