@@ -23,50 +23,61 @@ from .vectors import matrix, usable
 
 PROJECTIONS, COLLISIONS, VERIFIED, WIDEN, FIRST = 80, 0.62, 0.2, 1.15, 0.9
 SHARD_ROWS, BLOCK_ROWS = 20_000, 512
+#: Ranks that are compared at a time: those of all lines stay in a core's cache.
+CHUNK = 2048
 
 
 class Lines:
-    """Projections of the vectors of a shard, sorted on each line."""
+    """Projections of the vectors of a shard, sorted on each line, and the rank of each vector there."""
 
     def __init__(self, v: np.ndarray, longest: float, projections: int = PROJECTIONS, seed: int = 11):
         self.v = v
         lift = np.sqrt(np.maximum(longest**2 - np.einsum("nd,nd->n", v, v), 0))
         self.axes = np.random.default_rng(seed).standard_normal((v.shape[1] + 1, projections))
-        value = np.hstack([v, lift[:, None]]) @ self.axes
-        self.order = np.argsort(value, axis=0, kind="stable").T.copy().astype(np.int32)
-        self.sorted = np.sort(value, axis=0).T.copy()
+        value = (np.hstack([v, lift[:, None]]) @ self.axes).T.copy()
+        order = np.argsort(value, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(value, order, axis=1)
+        self.rank = np.empty(order.shape, np.uint16 if len(v) < 2**16 else np.uint32)
+        np.put_along_axis(self.rank, order, np.arange(len(v), dtype=self.rank.dtype)[None, :], axis=1)
         self.longest = longest
 
+    def collisions(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """On how many lines each vector's rank is in the window [a, b) of that line."""
+        lines, n = self.rank.shape
+        kind = self.rank.dtype
+        first, width = a.astype(kind)[:, None], (b - a).astype(kind)[:, None]
+        out = np.empty(n, np.uint8 if lines < 2**8 else np.uint32)
+        past, held = np.empty((lines, min(n, CHUNK)), kind), np.empty((lines, min(n, CHUNK)), bool)
+        for lo in range(0, n, CHUNK):
+            some = self.rank[:, lo : lo + CHUNK]
+            m = some.shape[1]
+            # ranks before the window wrap around and are beyond its width
+            np.less(np.subtract(some, first, out=past[:, :m]), width, out=held[:, :m])
+            np.add.reduce(held.view(np.uint8)[:, :m], axis=0, dtype=out.dtype, out=out[lo : lo + m])
+        return out
+
     def candidates(self, q: np.ndarray, wanted: int, collisions: float, verified: float):
         """For each query the vectors that collide with it on enough lines."""
-        n, lines = len(self.v), len(self.order)
+        lines, n = self.rank.shape
         need = int(np.ceil(collisions * lines))
         enough = min(n, wanted + int(np.ceil(verified * n)))
         # a query's length sets no order among its neighbours, so all have that of the longest vector
         scale = self.longest / np.maximum(np.linalg.norm(q, axis=1), 1e-300)
         value = np.hstack([q * scale[:, None], np.zeros((len(q), 1))]) @ self.axes
         half, todo = FIRST * self.longest, np.arange(len(q))
-        count: dict[int, np.ndarray] = {}
-        lo = hi = np.zeros((len(q), lines), np.int64)
         while len(todo):
-            a, b = np.empty((len(q), lines), np.int64), np.empty((len(q), lines), np.int64)
+            a, b = np.empty((len(todo), lines), np.int64), np.empty((len(todo), lines), np.int64)
             for j, s in enumerate(self.sorted):
-                a[todo, j] = np.searchsorted(s, value[todo, j] - half)
-                b[todo, j] = np.searchsorted(s, value[todo, j] + half, side="right")
-            for i in todo.tolist():
-                # only what the windows have gained
-                old = count.pop(i, None)
-                gained = [(a[i], b[i])] if old is None else [(a[i], lo[i]), (hi[i], b[i])]
-                parts = [o[x:y] for first, last in gained for o, x, y in zip(self.order, first.tolist(), last.tolist(), strict=True)]
-                now = np.bincount(np.concatenate(parts), minlength=n)
-                now = now if old is None else now + old
-                close = np.flatnonzero(now >= need)
-                if len(close) >= enough or (a[i] == 0).all() and (b[i] == n).all():
+                a[:, j] = np.searchsorted(s, value[todo, j] - half)
+                b[:, j] = np.searchsorted(s, value[todo, j] + half, side="right")
+            left = []
+            for i, x, y in zip(todo.tolist(), a, b, strict=True):
+                close = np.flatnonzero(self.collisions(x, y) >= need)
+                if len(close) >= enough or (x == 0).all() and (y == n).all():
                     yield i, close
                 else:
-                    count[i] = now.astype(np.int16)
-            todo = np.array(sorted(count), np.int64)
-            lo, hi, half = a, b, half * WIDEN
+                    left.append(i)
+            todo, half = np.array(left, np.int64), half * WIDEN
 
 
 def nearest(v: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, longest: float, k: int, collisions: float = COLLISIONS, verified: float = VERIFIED):
@@ -75,6 +86,9 @@ def nearest(v: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, lo
     for i, close in Lines(v, longest).candidates(q, k + 1, collisions, verified):
         close = close[ids[close] != q_ids[i]]
         score = np.einsum("nd,d->n", v[close], q[i])
+        if len(close) > k:  # the best by score, with all that tie with the last of them
+            best = score >= np.partition(score, len(score) - k)[len(score) - k]
+            close, score = close[best], score[best]
         top = np.lexsort((ids[close], -score))[:k]
         out += [(int(q_ids[i]), int(ids[close[t]]), float(score[t])) for t in top]
     return out

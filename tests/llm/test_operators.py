@@ -280,6 +280,20 @@ def test_nearest_by_collisions(spark):
     assert collision.search(df.where("false"), df.where("false")).collect() == []
 
 
+def test_collisions_are_counted_by_rank():
+    """A vector collides on the lines whose window holds its rank: the windows' members need not be listed."""
+    v = np.random.default_rng(5).integers(-2, 3, (700, 6)).astype(float)
+    lines = collision.Lines(v, float(np.linalg.norm(v, axis=1).max()), 30)
+    rnd = np.random.default_rng(6)
+    for _ in range(20):
+        a, b = np.sort(rnd.integers(0, 701, (2, 30)), axis=0)
+        held = (lines.rank >= a[:, None]) & (lines.rank < b[:, None])
+        assert (lines.collisions(a, b) == held.sum(axis=0)).all()
+    assert (lines.collisions(np.zeros(30, int), np.full(30, 700)) == 30).all()
+    lift = np.sqrt(np.maximum(lines.longest**2 - (v**2).sum(axis=1), 0))
+    assert np.allclose(np.take_along_axis(lines.sorted, lines.rank.astype(int), axis=1), (np.hstack([v, lift[:, None]]) @ lines.axes).T)
+
+
 @pytest.mark.parametrize("which", ["odd", "docs", "none"])
 @pytest.mark.parametrize("group", [20_000, 10])
 def test_packing(request, which, group):
