@@ -12,8 +12,10 @@ Texts with the same multiset are one node. Nodes meet in buckets, one for each b
 all with all: members meet a few pivots of their bucket, found links give components, and as long as the members that
 were no pivot are in several components, the bucket gets four times as many pivots, those of its smallest components first.
 So every two members have met or are in one component when a bucket is done, and a bucket of thousands of copies is done
-at once. A pass is made of aggregates and joins, which Spark splits at hot buckets. Pairs that meet are compared by their
-signatures, and the remaining ones exactly on the multisets.
+at once. Members of buckets that are not done after two passes are unlike each other, and would meet all with all. They go on
+in buckets of elements: each multiset is in those of its rarest elements only, as many as a similar one must share one of.
+A pass is made of aggregates and joins, which Spark splits at hot buckets. Pairs that meet are compared by their signatures,
+and the remaining ones exactly on the multisets.
 
 Texts of fewer than ``words`` words are one shingle, of all their words. Documents without words, and those with a null
 ``doc_id``, are in a class of their own. Null texts are empty. A class is named after its least ``doc_id``; of rows that
@@ -33,6 +35,8 @@ from .components import components
 WORDS, THRESHOLD = 5, 0.8
 #: Pairs of similarity 0.8 share one of the 21 bands with a chance of 0.998, those of 0.5 with 0.28.
 SIZE, ROWS = 126, 6
+#: Passes over buckets of bands; after them, members that have not met do so in buckets of their least common elements.
+BAND_PASSES = 2
 _POISSON = np.cumsum([1, 1, 1 / 2, 1 / 6, 1 / 24, 1 / 120, 1 / 720, 1 / 5040, 1 / 40320]) / np.e
 
 
@@ -202,7 +206,7 @@ def _checked(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 
 def _pivots(members: DataFrame, most: int) -> DataFrame:
-    """Up to ``most`` members of each bucket that were no pivot yet, those of its smallest components first.
+    """Up to ``most`` members of each bucket that may be a pivot and were none yet, those of its smallest components first.
 
     Of equally small ones the most central comes first: that whose buckets hold most members, as those of a text do from
     which many others were made.
@@ -210,8 +214,8 @@ def _pivots(members: DataFrame, most: int) -> DataFrame:
     count = members.groupBy("band", "label").agg(F.count("*").alias("n"))
     open_members = members.where("not done").join(count, ["band", "label"])
     order = Window.partitionBy("band").orderBy("n", F.desc("central"), "label", "node")
-    first = open_members.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
-    return first.select("band", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
+    first = open_members.where("first").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
+    return first.select("band", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"), F.col("size").alias("pivot_size"), F.col("behind").alias("pivot_behind"))
 
 
 def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
@@ -224,13 +228,43 @@ def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     return moved
 
 
+def by_element(nodes: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """Members (band, node, done, first, central, size, behind) of buckets by element, in which all similar ones of ``nodes`` meet.
+
+    Elements are put in one order for all, those of the fewest nodes first. Two multisets whose smallest common element
+    has less than the overlap they need behind it, itself included, cannot be similar. The overlap is at least
+    ``threshold`` times the size of either, and ``2 * threshold / (1 + threshold)`` times that of the smaller one, so of two
+    similar ones the smaller is a ``first`` member of a bucket that the other is in too. Elements of one node alone come
+    before all others and make no bucket: members of a group that each differ from all others in enough places meet nobody.
+    """
+
+    def spread(batches):
+        for batch in batches:
+            for node, central, e, w in zip(*(batch.column(c).to_pylist() for c in ("node", "central", "elements", "weights")), strict=True):
+                n = len(e) // 8
+                weight = np.frombuffer(w, "<u4").astype(np.int64) if w else np.ones(n, np.int64)
+                cols = [np.full(n, node), np.full(n, central), np.frombuffer(e, np.int64), weight, np.full(n, weight.sum())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["node", "central", "band", "weight", "size"])
+
+    every = saved(nodes.join(bags, "node").mapInArrow(spread, "node long, central long, band long, weight long, size long"), "elements")
+    shared = every.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    behind = F.sum("weight").over(Window.partitionBy("node").orderBy(F.desc("n"), F.desc("band")).rowsBetween(Window.unboundedPreceding, 0))
+    placed = every.join(shared, "band").withColumn("behind", behind)
+    least = threshold * (1 - 1e-9)  # as sizes are whole, more than rounding needs
+    placed = placed.where(F.col("behind") >= least * F.col("size")).withColumn("first", F.col("behind") >= 2 * least / (1 + threshold) * F.col("size"))
+    # a bucket without first members joins nobody
+    members = saved(placed.select("band", "node", F.lit(False).alias("done"), "first", "central", "size", "behind"), "bands")
+    forget(every)
+    return members
+
+
 def linked(rows: DataFrame, signs: DataFrame, words: int, threshold: float, size: int, each: int) -> DataFrame:
     """(node, label) of the multisets that share a bucket with others, labelled by component of their links."""
     banded = _bands(signs, size, each)
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     met = saved(banded.join(shared, "band"), "bands")
     central = met.groupBy("node").agg(F.sum("n").alias("central"))
-    members = saved(met.join(central, "node").select("band", "node", F.lit(False).alias("done"), "central"), "bands")
+    members = saved(met.join(central, "node").select("band", "node", F.lit(False).alias("done"), F.lit(True).alias("first"), "central", *(F.lit(0).cast("long").alias(c) for c in ("size", "behind"))), "bands")
     forget(met)
     label = saved(members.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
     nodes = label.select("node")
@@ -247,19 +281,31 @@ def linked(rows: DataFrame, signs: DataFrame, words: int, threshold: float, size
     # first each node meets the most central member of all its buckets; that joins most of what belongs together
     middle = members.groupBy("band").agg(F.max(F.struct("central", "node")).alias("m"))
     middle = members.join(middle, "band").groupBy("node").agg(F.max("m").alias("m"))
-    links, most, past = found(middle.select("node", F.col("m.node").alias("pivot")).where("node <> pivot")), 1, [members]
+    links, most, past, passes = found(middle.select("node", F.col("m.node").alias("pivot")).where("node <> pivot")), 1, [members], 0
+
+    def unfinished(members: DataFrame) -> DataFrame:
+        # done: buckets whose members that were no pivot are in one component, so all others have met them, or may be none
+        now = members.join(label, "node")
+        ends = now.where("not done").groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("first").alias("more"))
+        return saved(now.join(ends.where("x < y and more").select("band"), "band", "left_semi"), "bands")
+
     while True:
         label = _joined(label, links)
-        now = members.join(label, "node")
-        # done: buckets whose members that were no pivot are in one component, so all others have met them
-        still = now.where("not done").groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
-        left = saved(now.join(still, "band", "left_semi"), "bands")
+        left, passes = unfinished(members), passes + 1
         forget(*past)
+        if passes == BAND_PASSES and not left.isEmpty():
+            # what has not met by now shares a bucket here: elements tell unlike members apart, bands do not
+            members, most = by_element(left.select("node", "central").distinct(), bags, threshold), 1
+            forget(left)
+            left = unfinished(members)
+            forget(members)
         if left.isEmpty():
             forget(left, bags, few)
             return label
         pivots = saved(_pivots(left, most), "pivots")
-        links = found(left.join(pivots, "band").where("label <> pivot_label"))
+        # of a bucket by element: what lies behind it must do for the overlap, or the two meet at a smaller element or not at all
+        enough = F.least("behind", "pivot_behind") >= (1 - 1e-9) * threshold / (1 + threshold) * (F.col("size") + F.col("pivot_size"))
+        links = found(left.join(pivots, "band").where(F.col("label") != F.col("pivot_label")).where(enough))
         was = pivots.select("band", F.col("pivot").alias("node"), F.lit(True).alias("now"))
         members = left.drop("label").join(was, ["band", "node"], "left").withColumn("done", F.col("done") | F.coalesce("now", F.lit(False))).drop("now")
         past = [left, pivots]

@@ -183,6 +183,29 @@ def test_a_bucket_without_a_common_centre(spark):
     assert {r.class_id for r in got.collect()} == {0}
 
 
+def test_unlike_edits_of_one_text_do_not_meet_all_with_all(spark, monkeypatch):
+    """Copies with four edits each: their buckets are alike, but what is their own leaves too little in common."""
+    words = [w for w in base_text(7, 400).split() if len(w) > 3][:150]
+    rows, met = [(i, " ".join(words[:-1] + [f"end{i}"])) for i in range(20)], []
+    for i in range(20, 140):
+        edited = list(words)
+        for k in range(4):
+            edited[(17 + 36 * k + i % 30) % 146] = f"edit{i}x{k}"
+        rows.append((i, " ".join(edited)))
+
+    def seen(df, purpose):
+        out = save(df, purpose)
+        met.append(out.count() if purpose == "pairs" else 0)
+        return out
+
+    save = dartminhash.saved
+    monkeypatch.setattr(dartminhash, "saved", seen)
+    got = dartminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    bags = {d: brute.bag(t) for d, t in rows}
+    same([(r.doc_id, r.class_id) for r in got], brute.groups(bags, brute.near_links(bags)).items())
+    assert sum(met) < 10 * len(rows)
+
+
 @pytest.mark.parametrize("which", ["odd", "docs", "none"])
 def test_bpe(request, which):
     import public_tokenizers as public
