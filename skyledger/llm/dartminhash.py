@@ -206,15 +206,15 @@ def _checked(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 
 def _pivots(members: DataFrame, most: int) -> DataFrame:
-    """Up to ``most`` members of each bucket that may be a pivot and were none yet, those of its smallest components first.
+    """Up to ``most`` members of each bucket that may be a pivot, those of its smallest components first.
 
     Of equally small ones the most central comes first: that whose buckets hold most members, as those of a text do from
     which many others were made.
     """
     count = members.groupBy("band", "label").agg(F.count("*").alias("n"))
-    open_members = members.where("not done").join(count, ["band", "label"])
+    open_members = members.where("first").join(count, ["band", "label"])
     order = Window.partitionBy("band").orderBy("n", F.desc("central"), "label", "node")
-    first = open_members.where("first").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
+    first = open_members.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
     return first.select("band", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"), F.col("size").alias("pivot_size"), F.col("behind").alias("pivot_behind"))
 
 
@@ -229,7 +229,7 @@ def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def by_element(nodes: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
-    """Members (band, node, done, first, central, size, behind) of buckets by element, in which all similar ones of ``nodes`` meet.
+    """Members (band, node, first, central, size, behind) of buckets by element, in which all similar ones of ``nodes`` meet.
 
     Elements are put in one order for all, those of the fewest nodes first. Two multisets whose smallest common element
     has less than the overlap they need behind it, itself included, cannot be similar. The overlap is at least
@@ -253,7 +253,7 @@ def by_element(nodes: DataFrame, bags: DataFrame, threshold: float) -> DataFrame
     least = threshold * (1 - 1e-9)  # as sizes are whole, more than rounding needs
     placed = placed.where(F.col("behind") >= least * F.col("size")).withColumn("first", F.col("behind") >= 2 * least / (1 + threshold) * F.col("size"))
     # a bucket without first members joins nobody
-    members = saved(placed.select("band", "node", F.lit(False).alias("done"), "first", "central", "size", "behind"), "bands")
+    members = saved(placed.select("band", "node", "first", "central", "size", "behind"), "bands")
     forget(every)
     return members
 
@@ -264,7 +264,7 @@ def linked(rows: DataFrame, signs: DataFrame, words: int, threshold: float, size
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     met = saved(banded.join(shared, "band"), "bands")
     central = met.groupBy("node").agg(F.sum("n").alias("central"))
-    members = saved(met.join(central, "node").select("band", "node", F.lit(False).alias("done"), F.lit(True).alias("first"), "central", *(F.lit(0).cast("long").alias(c) for c in ("size", "behind"))), "bands")
+    members = saved(met.join(central, "node").select("band", "node", F.lit(True).alias("first"), "central", *(F.lit(0).cast("long").alias(c) for c in ("size", "behind"))), "bands")
     forget(met)
     label = saved(members.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
     nodes = label.select("node")
@@ -284,9 +284,9 @@ def linked(rows: DataFrame, signs: DataFrame, words: int, threshold: float, size
     links, most, past, passes = found(middle.select("node", F.col("m.node").alias("pivot")).where("node <> pivot")), 1, [members], 0
 
     def unfinished(members: DataFrame) -> DataFrame:
-        # done: buckets whose members that were no pivot are in one component, so all others have met them, or may be none
+        # done: buckets whose members, none of them a pivot so far, are in one component or may be no pivot
         now = members.join(label, "node")
-        ends = now.where("not done").groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("first").alias("more"))
+        ends = now.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("first").alias("more"))
         return saved(now.join(ends.where("x < y and more").select("band"), "band", "left_semi"), "bands")
 
     while True:
@@ -306,8 +306,8 @@ def linked(rows: DataFrame, signs: DataFrame, words: int, threshold: float, size
         # of a bucket by element: what lies behind it must do for the overlap, or the two meet at a smaller element or not at all
         enough = F.least("behind", "pivot_behind") >= (1 - 1e-9) * threshold / (1 + threshold) * (F.col("size") + F.col("pivot_size"))
         links = found(left.join(pivots, "band").where(F.col("label") != F.col("pivot_label")).where(enough))
-        was = pivots.select("band", F.col("pivot").alias("node"), F.lit(True).alias("now"))
-        members = left.drop("label").join(was, ["band", "node"], "left").withColumn("done", F.col("done") | F.coalesce("now", F.lit(False))).drop("now")
+        was = pivots.select("band", F.col("pivot").alias("node"))  # a pivot has met all others, so it leaves the bucket
+        members = left.drop("label").join(was, ["band", "node"], "left_anti")
         past = [left, pivots]
         most *= 4
 
