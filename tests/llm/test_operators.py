@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -391,6 +393,55 @@ def test_repeated_bytes_of_other_lengths(spark):
         same(got.collect(), brute.bwt(rows, length))
 
 
+class Held:
+    """Stands for a table: the function that its tasks would run is kept."""
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, build, schema):  # noqa: N802
+        return build
+
+
+def peak_mb(build, texts) -> float:
+    """Of what a task allocates over one batch."""
+    keys = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), keys, keys], names=["text", "doc_key", "text_key"])
+    tracemalloc.start()
+    try:
+        assert sum(x.num_rows for x in build(iter([batch])))
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_task_does_not_grow_with_its_texts():
+    texts = [base_text(i, 600) for i in range(1000)]
+    assert sum(map(len, texts)) > 3_000_000
+    assert peak_mb(bwt_dedup.suffixes(Held(), 400), ["".join(texts)]) < 60  # a text in one piece takes 400
+    assert peak_mb(bwt_dedup.suffixes(Held(), 400), texts) < 60
+    assert peak_mb(dartminhash.signed(Held()), texts) < 150
+
+
+@pytest.mark.parametrize("most", [1, 50, 1000])
+def test_pieces_hold_every_window_once(most):
+    texts = ["", "a" * 399, "b" * 400, "é" * 450, base_text(1, 500), base_text(2)]
+    held = list(bwt_dedup.pieces(texts, 400, most))
+    windows = [(nth, at + i, raw[i : i + 400]) for group in held for nth, at, raw in group for i in range(len(raw) - 399)]
+    raw = [t.encode() for t in texts]
+    assert windows == [(nth, i, r[i : i + 400]) for nth, r in enumerate(raw) for i in range(len(r) - 399)]
+    shards = [bwt_dedup.Shard(group, 400) for group in held]
+    runs = [(d, a - b, z - b) for s in shards for d, a, z, b in zip(s.doc.tolist(), s.first.tolist(), s.last.tolist(), s.base.tolist())]
+    assert sorted((d, i) for d, a, z in runs for i in range(a, z + 1)) == [(nth, i) for nth, i, _ in windows]
+
+
+def test_repeats_in_texts_of_several_shards(spark):
+    text = "".join(random.Random(9).choices("abcdefgh ", k=450_000))
+    rows = [(1, text), (2, "x" * 399 + text[1000:]), (3, "unlike " * 20 + text[199_700:200_300])]
+    got = bwt_dedup.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted((r.doc_id, r.n_removed, r.n_spans, bytes(r.kept).decode()) for r in got.collect()) == [(1, 449_000, 1, text[:1000]), (2, 449_000, 1, "x" * 399), (3, 600, 1, "unlike " * 20)]
+
+
 def test_repeated_strings_are_removed_from_documents(odd, none):
     got = bwt_dedup.remove(odd)
     assert got.columns == odd.columns and got.count() == odd.count()
