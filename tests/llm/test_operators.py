@@ -289,6 +289,36 @@ def test_measured_recall_is_returned(spark):
     assert hnsw.measured_recall(df.where("vec_id = 200"), 1) == (None, 0)
 
 
+@pytest.mark.parametrize("alike", [0, 4000])
+def test_search_of_a_shard_works_in_bounded_memory(alike):
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(1, 32)) + 0.01 * rnd.normal(size=(4000, 32)) if alike else rnd.normal(size=(4000, 32))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    layers = hnsw.build(x)
+    tracemalloc.start()
+    who, what, _ = hnsw.links_within(x, layers, x[:256], 0.95, own=np.arange(256))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(zip(who.tolist(), what.tolist(), strict=True)) | {(i, i) for i in range(256)}) == (256 * 4000 if alike else 256)
+    assert most < 160e6
+
+
+def test_graphs_are_stored_in_short_rows(spark, monkeypatch):
+    stored, saved = [], hnsw.saved
+    monkeypatch.setattr(hnsw, "saved", lambda df, purpose: stored.append(saved(df, purpose)) or stored[-1])
+    rows = [(i, v) for i, v in vectors() if i < 400]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = {(r.vec_id, r.n_links, r.component_id) for r in hnsw.near_duplicates(df).collect()}
+    longest = [r for t in stored if (binary := [c for c, kind in t.dtypes if kind == "binary"]) for r in t.selectExpr(*(f"max(octet_length({c}))" for c in binary)).first()]
+    assert longest and max(longest) <= 8 * 64
+    # more shards, and vectors of two lengths in doubles, give the same links
+    monkeypatch.setattr(hnsw, "SHARD_ROWS", 50)
+    monkeypatch.setattr(hnsw, "SHARD_CELLS", 500)
+    df = spark.createDataFrame([*rows, (500, [1.0, 0.1]), (501, [1.0, 0.2]), (502, [0.0, 0.1])], "vec_id long, embedding array<double>")
+    got = {(r.vec_id, r.n_links, r.component_id) for r in hnsw.near_duplicates(df).collect()}
+    assert got == want | {(500, 1, 500), (501, 1, 500), (502, 0, 502)}
+
+
 def test_nearest_by_collisions(spark):
     for df in (spark.createDataFrame([(*r, 1, "x") for r in vectors()], "vec_id long, embedding array<float>, label int, rank string"), spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")):
         rows = [(r.vec_id, r.embedding) for r in df.collect()]
